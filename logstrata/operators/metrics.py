@@ -45,6 +45,12 @@ def distinct_values(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias(name))
 
 
+def _mean_per_day():
+    """Dated requests / distinct dates as double; NULL when nothing is dated."""
+    d = F.col("Date")
+    return F.try_divide(F.count(d).cast("double"), F.count_distinct(d))
+
+
 def _distinct_with_null(column: str):
     """count(DISTINCT c) plus one when a NULL occurs (same as A8 + count)."""
     c = F.col(column)
@@ -103,8 +109,7 @@ def total_requests(gold: DataFrame) -> DataFrame:
 
 def mean_requests_per_day(gold: DataFrame) -> DataFrame:
     """D3: dated requests / distinct dates, as double; undated lines excluded."""
-    d = F.col("Date")
-    return gold.agg((F.count(d) / F.count_distinct(d)).cast("double").alias("mean_requests_per_day"))
+    return gold.agg(_mean_per_day().alias("mean_requests_per_day"))
 
 
 def distinct_uris(gold: DataFrame) -> DataFrame:
@@ -139,11 +144,10 @@ def dashboard_summary(gold: DataFrame) -> DataFrame:
     ``Expand`` + two-level aggregate, de-duplicated map-side per task, so the
     table is read once instead of once per tile.
     """
-    d = F.col("Date")
     return gold.agg(
         F.count("IP").alias("total_requests"),
         _distinct_with_null("IP").cast("bigint").alias("distinct_ips"),
-        (F.count(d) / F.count_distinct(d)).cast("double").alias("mean_requests_per_day"),
+        _mean_per_day().alias("mean_requests_per_day"),
         _distinct_with_null("Date").cast("bigint").alias("distinct_days"),
         _distinct_with_null("URI").cast("bigint").alias("distinct_uris"),
         F.avg("Bytes").alias("avg_bytes"),

@@ -207,7 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "total_requests": p + "SELECT count(\"IP\") AS total_requests FROM gold",
         "row_count": p + "SELECT count(*) AS row_count FROM gold",
         "mean_requests_per_day": p
-        + "SELECT CAST(count(\"Date\") AS DOUBLE) / count(DISTINCT \"Date\") AS mean_requests_per_day FROM gold",
+        + "SELECT CAST(count(\"Date\") AS DOUBLE) / NULLIF(count(DISTINCT \"Date\"), 0) AS mean_requests_per_day FROM gold",
         "distinct_uris": p + _distinct("URI", "distinct_uris"),
         "requests_by_method": p + _ranked("Method"),
         "requests_by_status": p + _ranked("Categoria_Status"),
@@ -219,7 +219,7 @@ def oracle_sql() -> dict[str, str]:
         + (
             "SELECT count(\"IP\") AS total_requests, "
             f"{_distinct_with_null('IP')} AS distinct_ips, "
-            "CAST(count(\"Date\") AS DOUBLE) / count(DISTINCT \"Date\") AS mean_requests_per_day, "
+            "CAST(count(\"Date\") AS DOUBLE) / NULLIF(count(DISTINCT \"Date\"), 0) AS mean_requests_per_day, "
             f"{_distinct_with_null('Date')} AS distinct_days, "
             f"{_distinct_with_null('URI')} AS distinct_uris, "
             "avg(\"Bytes\") AS avg_bytes FROM gold"
@@ -240,3 +240,8 @@ def oracle_sql() -> dict[str, str]:
         "streaming_ingest": gold_all,
     }
     return sql
+
+
+def gold_over_lines_sql() -> str:
+    """Gold rows for a caller-provided ``lines(value)`` table (used by tests)."""
+    return f"WITH silver AS ({_silver_sql()}), gold AS ({_gold_sql()}) SELECT * FROM gold"
