@@ -14,6 +14,18 @@ REQUEST_PATTERN = r"\"(\S+)\s(\S+)\s*(\S*)\""  # groups: 1 method, 2 URI, 3 prot
 STATUS_PATTERN = r"\s(\d{3})\s"
 BYTES_PATTERN = r"\s(\d+)$"
 
+# Derived forms of the fixed patterns, used by the Silver projection because
+# they give the same groups with less work (tests/test_equivalence.py checks
+# them against the fixed patterns on adversarial text):
+#  * the request is matched once (group 0) and the three parts are read from
+#    that short match with the pattern anchored at both ends;
+#  * the trailing size is found by backtracking from the end of the line
+#    instead of trying every whitespace from the start.  DOTALL lets ``.``
+#    cross any line terminator, so the only possible match is the same one.
+REQUEST_PARTS_PATTERN = "^" + REQUEST_PATTERN + "$"
+BYTES_FROM_END_PATTERN = r"(?s)^.*\s(\d+)$"
+INT_SAFE_DIGITS = 9  # any run of at most 9 ASCII digits fits in a 32-bit int
+
 # FIXED VALUES: Gold derivations.
 DATE_TOKEN_PATTERN = r"^(.*?)\:"
 DATE_FORMAT = "dd/MMM/yyyy"

@@ -13,8 +13,12 @@ from logstrata.functions import enrich, parse
 
 
 def bronze_to_silver(bronze: DataFrame, line_column: str = "value") -> DataFrame:
-    """Raw lines -> IP, Timestamp, Method, URI, Protocol, Status, Bytes."""
-    return bronze.select(*parse.silver_columns(line_column))
+    """Raw lines -> IP, Timestamp, Method, URI, Protocol, Status, Bytes.
+
+    Two projections: line-wide regexes first (once each), then the request
+    parts and the typed size from the short tokens (see ``functions.parse``).
+    """
+    return bronze.select(*parse.silver_tokens(line_column)).select(*parse.silver_from_tokens())
 
 
 def silver_to_gold(silver: DataFrame) -> DataFrame:

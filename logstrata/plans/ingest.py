@@ -3,8 +3,9 @@
 The text is scanned exactly once.  Parse and enrichment are projections fused
 into the Parquet write; the row count every step reports is observed on that
 same write (``DataFrame.observe``) instead of a separate ``count()`` job; the
-catalog table is filled from the just-written Gold Parquet (columnar, already
-parsed) rather than by parsing the text a second time.
+catalog table is the just-written Gold Parquet itself (registered, metadata
+only) or, when another format or location is asked for, a copy made from
+that Parquet (columnar, already parsed), never a second parse of the text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from logstrata.operators.layers import bronze_to_silver, silver_to_gold
 from logstrata.plans.audit import StepLog
 from logstrata.schemas import GOLD_COLUMNS, GOLD_SCHEMA
 from logstrata.sinks.files import publish_manifest, publish_parquet
-from logstrata.sinks.tables import publish_table
+from logstrata.sinks.tables import publish_table, register_table
 from logstrata.sources.text import read_logs
 
 
@@ -56,7 +57,7 @@ def run_ingest(
     gold_path: str,
     manifest_path: str,
     table_name: str,
-    table_path: str,
+    table_path: str | None = None,
     log: StepLog | None = None,
     fmt: str = "parquet",
     single_file: bool = False,
@@ -87,10 +88,15 @@ def run_ingest(
         publish_manifest(spark, manifest_path, gold_path, rows)
 
     with log.step(C.STEP_TABLE, f"Publishing table {table_name}") as table_step:
-        published = read_published_gold(spark, gold_path)
-        table_step.record_count = observed_write(
-            published,
-            lambda df: publish_table(df, table_name, table_path, fmt=fmt, partition_by=partition_by),
-        )
-
-    return IngestResult(rows, gold_path, manifest_path, table_name, table_path)
+        if table_path is None and fmt == "parquet":
+            register_table(spark, table_name, gold_path, partitioned=bool(partition_by))
+            table_step.record_count = rows
+        else:
+            table_path = table_path or f"{gold_path.rstrip('/')}_{fmt}"
+            published = read_published_gold(spark, gold_path)
+            table_step.record_count = observed_write(
+                published,
+                lambda df: publish_table(df, table_name, table_path, fmt=fmt, partition_by=partition_by),
+            )
+
+    return IngestResult(rows, gold_path, manifest_path, table_name, table_path or gold_path)

@@ -46,12 +46,15 @@ def run_pipeline(
     log_mode: str = "overwrite",
     single_file: bool = False,
     partition_by: Sequence[str] | None = None,
+    copy_table: bool = False,
 ) -> PipelineResult:
     """Run E1 then E2 on ``source``; the step log is stored even on failure.
 
     ``output_dir`` must be a shared location (default: a fresh folder under
-    ``spark.checkpoint.dir``).  The analyses read the published table by
-    name, i.e. the columnar copy, not the text.
+    ``spark.checkpoint.dir``).  The table is the Gold Parquet registered in
+    the catalog; ``copy_table=True`` (or a non-Parquet ``fmt``) writes a
+    separate copy under ``output_dir/table`` instead.  The analyses read the
+    published table by name, i.e. the columnar data, not the text.
     """
     paths = PipelinePaths.under(output_dir or scratch_path(spark, "pipeline"))
     log = StepLog()
@@ -63,7 +66,7 @@ def run_pipeline(
             gold_path=paths.gold,
             manifest_path=paths.manifest,
             table_name=table_name,
-            table_path=paths.table,
+            table_path=paths.table if (copy_table or fmt != "parquet") else None,
             log=log,
             fmt=fmt,
             single_file=single_file,

@@ -8,7 +8,7 @@ from logstrata.sinks.files import (
     read_csv_export,
     read_manifest,
 )
-from logstrata.sinks.tables import publish_table
+from logstrata.sinks.tables import publish_table, register_table
 
 __all__ = [
     "CSV_NULL",
@@ -18,4 +18,5 @@ __all__ = [
     "read_csv_export",
     "read_manifest",
     "publish_table",
+    "register_table",
 ]

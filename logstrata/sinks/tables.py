@@ -26,3 +26,22 @@ def publish_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table_name)
+
+
+def register_table(
+    spark,
+    table_name: str,
+    path: str,
+    fmt: str = "parquet",
+    partitioned: bool = False,
+) -> None:
+    """Point table ``table_name`` at data already written to ``path``.
+
+    Metadata only: no data is read or rewritten, so publishing the Gold
+    files as a table costs nothing at any scale.  A rerun replaces the
+    catalog entry (the files at ``path`` belong to the publisher).
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+    spark.catalog.createTable(table_name, path=path, source=fmt)
+    if partitioned:
+        spark.catalog.recoverPartitions(table_name)

@@ -111,3 +111,13 @@ def test_pipeline_run_and_sql(spark):
     assert result.report.distinct_ips == 17
     # the view is dropped again after the query was analysed
     assert not any(t.name == C.SQL_VIEW_NAME for t in spark.catalog.listTables())
+
+
+def test_pipeline_with_table_copy_and_date_partitions(spark, scratch):
+    text = catalog.log_text(spark, SF_SMALL)
+    result = run_pipeline(
+        spark, text, output_dir=scratch("copy-run"), table_name="t_copy", copy_table=True, partition_by=["Date"]
+    )
+    assert result.ingest.table_path == result.paths.table
+    assert spark.table("t_copy").count() == 1000
+    assert result.report.distinct_days == 31
