@@ -78,10 +78,11 @@ def run_ingest(
         gold = silver_to_gold(silver)
 
     with log.step(C.STEP_SAVE, f"Writing Gold Parquet to {gold_path}"):
-        rows = observed_write(
-            gold,
-            lambda df: publish_parquet(df, gold_path, single_file=single_file, partition_by=partition_by),
-        )
+        # The observer sits in the final (writing) stage, where each task's
+        # metrics count once even when tasks are retried; for a single file
+        # the shuffle to one partition therefore comes before it.
+        to_write = gold.repartition(1) if single_file else gold
+        rows = observed_write(to_write, lambda df: publish_parquet(df, gold_path, partition_by=partition_by))
     read_event.record_count = rows
 
     with log.step(C.STEP_TRIGGER, f"Publishing manifest {manifest_path}"):

@@ -55,10 +55,13 @@ def get_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    try:
-        return spark.sparkContext.master.startswith("local")
-    except Exception:  # Spark Connect has no SparkContext
-        return False
+    master = spark.conf.get("spark.master", None) or ""
+    if not master:
+        try:
+            master = spark.sparkContext.master
+        except Exception:  # Spark Connect has no SparkContext
+            master = ""
+    return master.startswith("local")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,12 +80,18 @@ def shared_dir(spark: SparkSession) -> str:
     except Exception:
         sc, current = None, None
     if current:
-        # setCheckpointDir appends a random sub-folder; its parent is the shared root.
+        # setCheckpointDir made a per-application sub-folder of the shared root.
         return current.rstrip("/")
-    if sc is not None and _is_local(spark):
-        root = tempfile.mkdtemp(prefix="logstrata-")
-        sc.setCheckpointDir(os.path.join(root, "checkpoints"))
-        return sc.getCheckpointDir().rstrip("/")
+    if _is_local(spark):
+        root = os.path.join(tempfile.mkdtemp(prefix="logstrata-"), "checkpoints")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            return sc.getCheckpointDir().rstrip("/")
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # some sessions reject core settings at runtime
+            pass
+        return root
     raise RuntimeError(
         "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store) "
         "so outputs survive executor loss"
