@@ -36,7 +36,7 @@ REQUEST_FILTER = {
     "date_to": "2024-01-20",
 }
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _text_logs: dict[tuple, str] = {}
 _pipeline_runs: dict[tuple, PipelineResult] = {}
 
@@ -80,13 +80,9 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> PipelineResult:
     """One full run (ingest, analyses, step log) over the text log of ``sf_dir``."""
     key = _key(spark, sf_dir)
     with _lock:
-        cached = _pipeline_runs.get(key)
-    if cached is not None:
-        return cached
-    result = run_pipeline(spark, log_text(spark, sf_dir), table_name="access_log")
-    with _lock:
-        _pipeline_runs[key] = result
-    return result
+        if key not in _pipeline_runs:
+            _pipeline_runs[key] = run_pipeline(spark, log_text(spark, sf_dir), table_name="access_log")
+        return _pipeline_runs[key]
 
 
 # ----------------------------------------------------------------- query bodies
@@ -124,8 +120,9 @@ def q_parquet_publish_by_date(spark, sf_dir):
 
 
 def q_table_publish(spark, sf_dir):
-    name = "access_log_published"
-    publish_table(q_gold_from_text(spark, sf_dir), name, scratch_path(spark, "gold-table"))
+    path = scratch_path(spark, "gold-table")
+    name = "access_log_" + path.rsplit("-", 1)[-1]
+    publish_table(q_gold_from_text(spark, sf_dir), name, path)
     return spark.table(name)
 
 

@@ -78,4 +78,4 @@ class StepLog:
 
     def write(self, spark: SparkSession, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
         """K3: store the log (overwrite by default, ``append`` keeps history)."""
-        self.to_frame(spark).coalesce(1).write.format(fmt).mode(mode).save(path)
+        self.to_frame(spark).write.format(fmt).mode(mode).save(path)

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logstrata.schemas import GOLD_SCHEMA, MANIFEST_SCHEMA
 
@@ -65,8 +66,12 @@ def publish_manifest(spark: SparkSession, manifest_path: str, data_path: str, ro
     Written only after the data write succeeded, so a consumer that watches
     the manifest (a refresh flow) never sees a half-written publish.
     """
-    row = (data_path, int(row_count), dt.datetime.now(dt.timezone.utc).isoformat())
-    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(manifest_path)
+    manifest = spark.range(0, 1, 1, 1).select(
+        F.lit(data_path).alias("path"),
+        F.lit(int(row_count)).cast("bigint").alias("row_count"),
+        F.lit(dt.datetime.now(dt.timezone.utc).isoformat()).alias("published_at"),
+    )
+    manifest.write.mode("overwrite").json(manifest_path)
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
