@@ -21,7 +21,7 @@ from logstrata.plans.ingest import read_published_gold
 from logstrata.plans.pipeline import PipelineResult, query_step_log, run_pipeline
 from logstrata.plans.sql import error_steps_query, successful_steps_query
 from logstrata.session import scratch_path
-from logstrata.sinks.files import export_csv, publish_manifest, publish_parquet, read_csv_export, read_manifest
+from logstrata.sinks.files import export_csv, publish_parquet, read_csv_export, read_manifest
 from logstrata.sinks.tables import publish_table
 from logstrata.functions.predicates import has_endpoint, is_client_error
 from logstrata.sources.events_log import access_log_lines

@@ -11,6 +11,7 @@ a failed run still stores its ``Erro`` row.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -41,6 +42,7 @@ class StepOutcome:
 class StepLog:
     events: list[StepEvent] = field(default_factory=list)
     _last: dt.datetime | None = None
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
     def _now(self) -> str:
         # Fixed-width, strictly increasing clock text, so ORDER BY Timestamp
@@ -52,9 +54,10 @@ class StepLog:
         return now.isoformat(sep=" ", timespec="microseconds")
 
     def record(self, step: str, status: str, message: str = "", record_count: int | None = None) -> StepEvent:
-        """M1: append one event."""
-        event = StepEvent(self._now(), step, status, message or "", record_count)
-        self.events.append(event)
+        """M1: append one event (safe to call from several threads)."""
+        with self._lock:
+            event = StepEvent(self._now(), step, status, message or "", record_count)
+            self.events.append(event)
         return event
 
     @contextmanager

@@ -47,6 +47,7 @@ def run_pipeline(
     single_file: bool = False,
     partition_by: Sequence[str] | None = None,
     copy_table: bool = False,
+    parallel_analyses: int = 1,
 ) -> PipelineResult:
     """Run E1 then E2 on ``source``; the step log is stored even on failure.
 
@@ -54,7 +55,8 @@ def run_pipeline(
     ``spark.checkpoint.dir``).  The table is the Gold Parquet registered in
     the catalog; ``copy_table=True`` (or a non-Parquet ``fmt``) writes a
     separate copy under ``output_dir/table`` instead.  The analyses read the
-    published table by name, i.e. the columnar data, not the text.
+    published table by name, i.e. the columnar data, not the text;
+    ``parallel_analyses`` > 1 runs them as concurrent jobs.
     """
     paths = PipelinePaths.under(output_dir or scratch_path(spark, "pipeline"))
     log = StepLog()
@@ -72,7 +74,7 @@ def run_pipeline(
             single_file=single_file,
             partition_by=partition_by,
         )
-        report = run_analyses(load_gold(spark, table=table_name), log)
+        report = run_analyses(load_gold(spark, table=table_name), log, parallel=parallel_analyses)
     finally:
         log.write(spark, paths.step_log, fmt=fmt, mode=log_mode)
     return PipelineResult(paths, table_name, ingest, report, log)

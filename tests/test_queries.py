@@ -1,7 +1,5 @@
 """Every registered query against its DuckDB oracle at sf0.001 (driver gate)."""
 
-import os
-
 import duckdb
 import pytest
 

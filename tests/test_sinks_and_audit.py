@@ -121,3 +121,15 @@ def test_pipeline_with_table_copy_and_date_partitions(spark, scratch):
     assert result.ingest.table_path == result.paths.table
     assert spark.table("t_copy").count() == 1000
     assert result.report.distinct_days == 31
+
+
+def test_parallel_analyses_match_sequential(spark):
+    from logstrata.plans.analysis import run_analyses
+
+    gold = catalog.gold(spark, SF_SMALL)
+    seq_log, par_log = StepLog(), StepLog()
+    seq = run_analyses(gold, seq_log)
+    par = run_analyses(gold, par_log, parallel=6)
+    assert seq == par
+    key = lambda e: (e.step, e.status, e.message, e.record_count)
+    assert sorted(map(key, seq_log.events), key=repr) == sorted(map(key, par_log.events), key=repr)
