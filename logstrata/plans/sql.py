@@ -10,15 +10,21 @@ from logstrata.constants import SQL_VIEW_NAME
 def query_table(spark: SparkSession, path: str, query: str, fmt: str = "parquet") -> DataFrame:
     """Run ``query`` with the table at ``path`` registered as ``logs_temp``.
 
-    The returned DataFrame is lazy; the temporary view is dropped as soon as
-    the query has been analysed, so repeated calls do not leak session
-    state (the analysed plan no longer needs the view name).
+    The returned DataFrame is lazy.  A classic session analyses the query
+    inside ``spark.sql``, so the temporary view is dropped right away and
+    repeated calls leave no session state behind.  A Spark Connect session
+    analyses later, so there the view stays (replaced by the next call).
     """
     spark.read.format(fmt).load(path).createOrReplaceTempView(SQL_VIEW_NAME)
     try:
         return spark.sql(query)
     finally:
-        spark.catalog.dropTempView(SQL_VIEW_NAME)
+        if not _is_connect(spark):
+            spark.catalog.dropTempView(SQL_VIEW_NAME)
+
+
+def _is_connect(spark: SparkSession) -> bool:
+    return type(spark).__module__.startswith("pyspark.sql.connect")
 
 
 def error_steps_query() -> str:
