@@ -133,3 +133,14 @@ def test_parallel_analyses_match_sequential(spark):
     assert seq == par
     key = lambda e: (e.step, e.status, e.message, e.record_count)
     assert sorted(map(key, seq_log.events), key=repr) == sorted(map(key, par_log.events), key=repr)
+
+
+def test_pipeline_in_another_table_format(spark, scratch):
+    # ORC is built in; Delta takes the same path where it is installed.
+    text = catalog.log_text(spark, SF_SMALL)
+    out = scratch("orc-run")
+    result = run_pipeline(spark, text, output_dir=out, table_name="t_orc", fmt="orc")
+    assert spark.table("t_orc").count() == 1000
+    assert spark.read.orc(result.paths.table).count() == 1000
+    steps = query_table(spark, result.paths.step_log, "SELECT count(*) FROM logs_temp", fmt="orc").first()[0]
+    assert steps == 24
