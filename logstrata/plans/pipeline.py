@@ -75,8 +75,14 @@ def run_pipeline(
             partition_by=partition_by,
         )
         report = run_analyses(load_gold(spark, table=table_name), log, parallel=parallel_analyses)
-    finally:
-        log.write(spark, paths.step_log, fmt=fmt, mode=log_mode)
+    except BaseException as exc:
+        # Store the log of the failed run (M4) without hiding why it failed.
+        try:
+            log.write(spark, paths.step_log, fmt=fmt, mode=log_mode)
+        except Exception as log_exc:  # e.g. the table format is not installed
+            exc.add_note(f"step log could not be stored at {paths.step_log}: {log_exc}")
+        raise
+    log.write(spark, paths.step_log, fmt=fmt, mode=log_mode)
     return PipelineResult(paths, table_name, ingest, report, log)
 
 

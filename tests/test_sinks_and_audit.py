@@ -144,3 +144,15 @@ def test_pipeline_in_another_table_format(spark, scratch):
     assert spark.read.orc(result.paths.table).count() == 1000
     steps = query_table(spark, result.paths.step_log, "SELECT count(*) FROM logs_temp", fmt="orc").first()[0]
     assert steps == 24
+
+
+def test_missing_table_format_reports_the_real_error(spark, scratch):
+    import importlib.util
+
+    if importlib.util.find_spec("delta") is not None:
+        pytest.skip("Delta is installed here")
+    text = catalog.log_text(spark, SF_SMALL)
+    with pytest.raises(Exception) as info:
+        run_pipeline(spark, text, output_dir=scratch("delta-run"), table_name="t_delta", fmt="delta")
+    assert "DATA_SOURCE_NOT_FOUND" in str(info.value)
+    assert any("step log could not be stored" in note for note in getattr(info.value, "__notes__", []))
