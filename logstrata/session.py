@@ -31,6 +31,20 @@ SCALE_CONF = {
 }
 
 
+# Extra settings for a cluster session (not applied to local ones).
+#  * Exact distinct counts and group-bys over a 100 TB table shuffle up to
+#    terabytes of per-task-distinct keys; 200 reduce partitions would make
+#    each one several GB.  AQE starts from this many and coalesces small
+#    shuffles (a handful of weekday or status groups) down to a few tasks.
+#  * FAIR scheduling shares executors between the analyses when they are
+#    submitted as concurrent jobs (``run_analyses(parallel=...)``).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.scheduler.mode": "FAIR",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "logstrata",
@@ -47,6 +61,8 @@ def get_session(
     if master is not None and master.startswith("local"):
         settings.setdefault("spark.ui.enabled", "false")
         settings.setdefault("spark.driver.memory", "8g")
+    else:
+        settings.update(CLUSTER_CONF)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
