@@ -41,8 +41,8 @@ SCALE_CONF = {
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    "spark.scheduler.mode": "FAIR",
 }
+CLUSTER_STATIC_CONF = {"spark.scheduler.mode": "FAIR"}
 
 
 def get_session(
@@ -62,12 +62,16 @@ def get_session(
         settings.setdefault("spark.ui.enabled", "false")
         settings.setdefault("spark.driver.memory", "8g")
     else:
-        settings.update(CLUSTER_CONF)
+        settings.update(CLUSTER_STATIC_CONF)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    if not _is_local(spark):  # runtime settings: decided on the real master
+        for key, value in CLUSTER_CONF.items():
+            if key not in (conf or {}):
+                spark.conf.set(key, value)
     return spark
 
 
