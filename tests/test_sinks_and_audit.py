@@ -156,3 +156,16 @@ def test_missing_table_format_reports_the_real_error(spark, scratch):
         run_pipeline(spark, text, output_dir=scratch("delta-run"), table_name="t_delta", fmt="delta")
     assert "DATA_SOURCE_NOT_FOUND" in str(info.value)
     assert any("step log could not be stored" in note for note in getattr(info.value, "__notes__", []))
+
+
+def test_ingest_single_file_counts_every_row_once(spark, scratch):
+    from logstrata.plans.ingest import run_ingest
+
+    text = catalog.log_text(spark, SF_SMALL)
+    root = scratch("single")
+    log = StepLog()
+    result = run_ingest(spark, text, root + "/gold", root + "/manifest", "t_single", log=log, single_file=True)
+    assert result.row_count == 1000
+    assert len(spark.read.parquet(root + "/gold").inputFiles()) == 1
+    counts = {(e.step, e.status): e.record_count for e in log.events}
+    assert counts[(C.STEP_READ, C.STATUS_OK)] == counts[(C.STEP_TABLE, C.STATUS_OK)] == 1000
