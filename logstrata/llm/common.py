@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 _BLANK_BEFORE_SPACE = re.compile(r"\s ")
 
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this library, once per application, as Spark's own file server hands out Python files."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.TemporaryDirectory(prefix="package-")  # Spark serves the file from here while the driver lives
+    archive = Path(folder.name, f"{package.name}_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED[sc.applicationId] = folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
