@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logstrata.llm.bpe import op3_bpe
+from logstrata.llm.langid import op7_ppm_language
+from logstrata.llm.linededup import OP6_SQL, op6_line_spread
+from logstrata.llm.packing import op9_bin_completion
+from logstrata.llm.sharding import op10_external_shuffle
+from logstrata.llm.tokenfile import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
+    "op5_token_files": op5_token_files,
+    "op6_line_spread": op6_line_spread,
+    "op7_ppm_language": op7_ppm_language,
+    "op9_bin_completion": op9_bin_completion,
+    "op10_external_shuffle": op10_external_shuffle,
 }
 
 #: DuckDB SQL with the same columns and rows, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_line_spread": OP6_SQL}
