@@ -11,9 +11,11 @@ from logstrata.llm.langid import op7_ppm_language
 from logstrata.llm.linededup import OP6_SQL, op6_line_spread
 from logstrata.llm.packing import op9_bin_completion
 from logstrata.llm.sharding import op10_external_shuffle
+from logstrata.llm.substring import OP2_SQL, op2_window_repeats
 from logstrata.llm.tokenfile import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_window_repeats": op2_window_repeats,
     "op3_bpe": op3_bpe,
     "op5_token_files": op5_token_files,
     "op6_line_spread": op6_line_spread,
@@ -23,4 +25,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL with the same columns and rows, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {"op6_line_spread": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_window_repeats": OP2_SQL, "op6_line_spread": OP6_SQL}
