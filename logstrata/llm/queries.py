@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logstrata.llm.bpe import op3_bpe
 from logstrata.llm.embeddings import OP1_SQL, op1_int8_tiles
 from logstrata.llm.forest import op8_projection_forest
+from logstrata.llm.jaccard import op4_segment_jaccard
 from logstrata.llm.langid import op7_ppm_language
 from logstrata.llm.linededup import OP6_SQL, op6_line_spread
 from logstrata.llm.packing import op9_bin_completion
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_int8_tiles": op1_int8_tiles,
     "op2_window_repeats": op2_window_repeats,
     "op3_bpe": op3_bpe,
+    "op4_segment_jaccard": op4_segment_jaccard,
     "op5_token_files": op5_token_files,
     "op6_line_spread": op6_line_spread,
     "op7_ppm_language": op7_ppm_language,
