@@ -57,11 +57,11 @@ class ContextTrees:
     def _count(self, samples: dict[str, list[bytes]]) -> tuple[np.ndarray, list[list[tuple[np.ndarray, np.ndarray]]]]:
         per_language = []
         for language in self.languages:
-            symbols = np.concatenate([self._symbols(t) for t in samples[language]] or [np.zeros(0, np.int64)])
-            orders = []
-            for depth in range(DEPTH + 1):
-                orders.append(np.unique(_keys(symbols, depth), return_counts=True))
-            per_language.append(orders)
+            symbols = [self._symbols(t) for t in samples[language]]
+            per_language.append([
+                np.unique(np.concatenate([_keys(s, depth) for s in symbols] or [np.zeros(0, np.int64)]), return_counts=True)
+                for depth in range(DEPTH + 1)
+            ])
         deepest = [orders[DEPTH][0] for orders in per_language]
         return np.unique(np.concatenate(deepest)) if deepest else np.zeros(0, np.int64), per_language
 
