@@ -10,8 +10,10 @@ that Parquet (columnar, already parsed), never a second parse of the text.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +23,7 @@ from logstrata import constants as C
 from logstrata.operators.layers import bronze_to_silver, silver_to_gold
 from logstrata.plans.audit import StepLog
 from logstrata.schemas import GOLD_COLUMNS, GOLD_SCHEMA
+from logstrata.session import delete_folder, list_folder
 from logstrata.sinks.files import publish_manifest, publish_parquet
 from logstrata.sinks.tables import publish_table, register_table
 from logstrata.sources.text import read_logs
@@ -62,35 +65,46 @@ def run_ingest(
     fmt: str = "parquet",
     single_file: bool = False,
     partition_by: Sequence[str] | None = None,
+    max_records_per_file: int | None = None,
+    split_bytes: int | None = None,
 ) -> IngestResult:
+    """Text ``source`` to Gold files, table and manifest.
+
+    Every run writes a folder of its own under ``gold_path``; table and
+    manifest move to it once it is complete, so readers keep the previous
+    data during the run and after a failed one.  The folders before the
+    previous one are removed.  ``split_bytes`` sets the size of the input
+    splits, and so of the output files, for this run (the session's setting
+    if not given); ``max_records_per_file`` bounds a file's rows.
+    """
     log = log if log is not None else StepLog()
+    versions = gold_path.rstrip("/")
+    gold_path = f"{versions}/run-{time.time_ns():020d}"
 
-    with log.step(C.STEP_READ, f"Reading access log {source}"):
-        bronze = read_logs(spark, source)
-    # The Sucesso row above has no count yet: it is set from the Gold write
-    # below (parse and enrichment keep every line, so the numbers are equal).
-    read_event = log.events[-1]
-
-    with log.step(C.STEP_SILVER, "Parsing lines into the Silver layer"):
-        silver = bronze_to_silver(bronze)
-
-    with log.step(C.STEP_GOLD, "Enriching the Silver layer into Gold"):
-        gold = silver_to_gold(silver)
+    def write(df: DataFrame) -> None:
+        publish_parquet(df, gold_path, partition_by=partition_by, max_records_per_file=max_records_per_file)
 
-    with log.step(C.STEP_SAVE, f"Writing Gold Parquet to {gold_path}"):
-        # The observer sits in the final (writing) stage, where each task's
-        # metrics count once even when tasks are retried; for a single file
-        # the shuffle to one partition therefore comes before it.
-        to_write = gold.repartition(1) if single_file else gold
-        rows = observed_write(to_write, lambda df: publish_parquet(df, gold_path, partition_by=partition_by))
-    read_event.record_count = rows
+    # Lines are read when Gold is written, so the read has succeeded, and its
+    # count is known (parse and enrichment keep every line), only after that.
+    with log.step(C.STEP_READ, f"Reading access log {source}") as read_step, _split_size(spark, split_bytes):
+        bronze = read_logs(spark, source)
+        with log.step(C.STEP_SILVER, "Parsing lines into the Silver layer"):
+            silver = bronze_to_silver(bronze)
+        with log.step(C.STEP_GOLD, "Enriching the Silver layer into Gold"):
+            gold = silver_to_gold(silver)
+        with log.step(C.STEP_SAVE, f"Writing Gold Parquet to {gold_path}"):
+            # The observer sits in the final (writing) stage, where each task's
+            # metrics count once even when tasks are retried; for a single file
+            # the shuffle to one partition therefore comes before it.
+            rows = observed_write(gold.repartition(1) if single_file else gold, write)
+        read_step.record_count = rows
 
     with log.step(C.STEP_TRIGGER, f"Publishing manifest {manifest_path}"):
         publish_manifest(spark, manifest_path, gold_path, rows)
 
     with log.step(C.STEP_TABLE, f"Publishing table {table_name}") as table_step:
         if table_path is None and fmt == "parquet":
-            register_table(spark, table_name, gold_path, partitioned=bool(partition_by))
+            register_table(spark, table_name, gold_path, partition_by=partition_by)
             table_step.record_count = rows
         else:
             table_path = table_path or f"{gold_path.rstrip('/')}_{fmt}"
@@ -100,4 +114,19 @@ def run_ingest(
                 lambda df: publish_table(df, table_name, table_path, fmt=fmt, partition_by=partition_by),
             )
 
+    for old in sorted(n for n in list_folder(spark, versions) if n.startswith("run-"))[:-2]:
+        delete_folder(spark, f"{versions}/{old}")
     return IngestResult(rows, gold_path, manifest_path, table_name, table_path or gold_path)
+
+
+@contextmanager
+def _split_size(spark: SparkSession, split_bytes: int | None):
+    """The session's input split size set to ``split_bytes`` for a while."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    if split_bytes:
+        spark.conf.set(name, str(int(split_bytes)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

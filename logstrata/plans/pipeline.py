@@ -48,6 +48,8 @@ def run_pipeline(
     partition_by: Sequence[str] | None = None,
     copy_table: bool = False,
     parallel_analyses: int = 1,
+    max_records_per_file: int | None = None,
+    split_bytes: int | None = None,
 ) -> PipelineResult:
     """Run E1 then E2 on ``source``; the step log is stored even on failure.
 
@@ -73,6 +75,8 @@ def run_pipeline(
             fmt=fmt,
             single_file=single_file,
             partition_by=partition_by,
+            max_records_per_file=max_records_per_file,
+            split_bytes=split_bytes,
         )
         report = run_analyses(load_gold(spark, table=table_name), log, parallel=parallel_analyses)
     except BaseException as exc:

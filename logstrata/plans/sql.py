@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logstrata.constants import SQL_VIEW_NAME
+from logstrata.constants import SQL_VIEW_NAME, STATUS_ERROR, STATUS_OK
 
 
 def query_table(spark: SparkSession, path: str, query: str, fmt: str = "parquet") -> DataFrame:
@@ -29,9 +29,9 @@ def _is_connect(spark: SparkSession) -> bool:
 
 def error_steps_query() -> str:
     """Failed steps in time order."""
-    return f"SELECT * FROM {SQL_VIEW_NAME} WHERE Status = 'Erro' ORDER BY Timestamp ASC"
+    return f"SELECT * FROM {SQL_VIEW_NAME} WHERE Status = '{STATUS_ERROR}' ORDER BY Timestamp ASC"
 
 
 def successful_steps_query() -> str:
     """Successful steps in time order."""
-    return f"SELECT * FROM {SQL_VIEW_NAME} WHERE Status = 'Sucesso' ORDER BY Timestamp ASC"
+    return f"SELECT * FROM {SQL_VIEW_NAME} WHERE Status = '{STATUS_OK}' ORDER BY Timestamp ASC"

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -27,7 +28,6 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.files.openCostInBytes": str(1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -94,6 +94,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not _is_local(spark) and configured.startswith(("/", "file:")):
+            warnings.warn(f"spark.checkpoint.dir is {configured}: it must be a folder that all machines of the cluster share", stacklevel=2)
         return configured.rstrip("/")
     try:
         sc = spark.sparkContext
@@ -122,3 +124,20 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared folder."""
     return f"{shared_dir(spark)}/logstrata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in ``path``, on any file system Spark can reach; none if it does not exist."""
+    files, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove an output this library wrote, such as a :func:`scratch_path` no longer needed."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

@@ -10,11 +10,25 @@ from pyspark.sql import functions as F
 
 from logstrata.schemas import GOLD_SCHEMA, MANIFEST_SCHEMA
 
-# CSV marker for NULL.  Only ``nullValue`` is set: with Spark's defaults (or
-# an extra ``emptyValue``) an empty string and NULL become indistinguishable
-# after a round trip, and Gold uses both ('' = field absent from the line,
-# NULL = not a number / not a date).
+# CSV marker for NULL.  With Spark's defaults (or an extra ``emptyValue``) an
+# empty string and NULL become indistinguishable after a round trip, and Gold
+# uses both ('' = field absent from the line, NULL = not a number / not a
+# date).  A text that itself begins with a backslash gets one more, so none
+# reads as the marker; blanks are kept, and a quote is doubled, so that a
+# backslash is an ordinary character to the format.
 CSV_NULL = "\\N"
+_CSV_OPTIONS = {
+    "header": True,
+    "nullValue": CSV_NULL,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "quote": '"',
+    "escape": '"',
+}
+
+
+def _strings(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(n)).alias(n) if kind == "string" else F.col(n) for n, kind in df.dtypes])
 
 
 def publish_parquet(
@@ -32,10 +46,11 @@ def publish_parquet(
     one file: it inserts a shuffle to one partition *after* the parallel
     parse (``coalesce(1)`` would pull the whole scan and parse into a single
     task).  ``partition_by=["Date"]`` lays the data out for partition
-    pruning by date.
+    pruning by date.  An overwrite replaces everything at ``path``, whatever
+    the session's partition overwrite mode is.
     """
     out = df.repartition(1) if single_file else df
-    writer = out.write.mode(mode).format("parquet")
+    writer = out.write.mode(mode).format("parquet").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
@@ -46,18 +61,14 @@ def publish_parquet(
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """K5: CSV export of the (filtered) request table, with a header."""
     out = df.repartition(1) if single_file else df
-    out.write.mode(mode).option("header", True).option("nullValue", CSV_NULL).csv(path)
+    out = _strings(out, lambda c: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c))
+    out.write.mode(mode).options(**_CSV_OPTIONS).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema=GOLD_SCHEMA) -> DataFrame:
     """Read a K5 export back with the Gold schema (no inference pass)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", CSV_NULL)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    stored = spark.read.schema(schema).options(**_CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return _strings(stored, lambda c: F.when(c.startswith("\\"), F.substring(c, 2, 2_147_483_647)).otherwise(c))
 
 
 def publish_manifest(spark: SparkSession, manifest_path: str, data_path: str, row_count: int) -> None:

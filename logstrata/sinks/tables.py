@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from logstrata.schemas import GOLD_SCHEMA
+
 
 def publish_table(
     df: DataFrame,
@@ -22,7 +24,7 @@ def publish_table(
     and by path, and a rerun replaces it.  ``fmt="delta"`` works where the
     Delta package is installed; the default is Parquet.
     """
-    writer = df.write.format(fmt).mode(mode).option("path", path)
+    writer = df.write.format(fmt).mode(mode).option("path", path).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table_name)
@@ -33,15 +35,21 @@ def register_table(
     table_name: str,
     path: str,
     fmt: str = "parquet",
-    partitioned: bool = False,
+    partition_by: Sequence[str] | None = None,
+    schema=GOLD_SCHEMA,
 ) -> None:
     """Point table ``table_name`` at data already written to ``path``.
 
     Metadata only: no data is read or rewritten, so publishing the Gold
     files as a table costs nothing at any scale.  A rerun replaces the
-    catalog entry (the files at ``path`` belong to the publisher).
+    catalog entry (the files at ``path`` belong to the publisher).  The
+    schema is stated, so an empty or wholly undated log registers with the
+    same types, and no file is sampled to find them.
     """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {table_name}")
-    spark.catalog.createTable(table_name, path=path, source=fmt)
-    if partitioned:
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table_name} ({columns}) USING {fmt}{by} LOCATION '{location}'")
+    if partition_by:
         spark.catalog.recoverPartitions(table_name)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logstrata.schemas import AUDIT_SCHEMA
+from logstrata.schemas import AUDIT_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA
 
 
 def load_gold(
@@ -18,18 +18,15 @@ def load_gold(
     """Latest version of the published Gold data, by table name or path.
 
     Reading the published columnar copy (instead of re-parsing text) gives
-    every analysis column pruning and filter pushdown.
+    every analysis column pruning and filter pushdown.  Columns come in
+    contract order, also from a table partitioned by date (which stores its
+    partition column last).
     """
     if table is not None:
-        return spark.table(table)
+        return spark.table(table).select(*GOLD_COLUMNS)
     if path is None:
         raise ValueError("load_gold needs a table name or a path")
-    return spark.read.format(fmt).load(path)
-
-
-def load_step_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3: the stored pipeline step log."""
-    return spark.read.format(fmt).load(path)
+    return spark.read.schema(GOLD_SCHEMA).format(fmt).load(path).select(*GOLD_COLUMNS)
 
 
 def step_rows_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

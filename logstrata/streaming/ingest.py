@@ -40,9 +40,17 @@ def start_incremental_ingest(
     return writer.start()
 
 
-def run_incremental_ingest(spark: SparkSession, source_dir: str, gold_path: str, checkpoint_path: str) -> None:
-    """Process every file currently in ``source_dir`` and wait for the end."""
-    query = start_incremental_ingest(spark, source_dir, gold_path, checkpoint_path, available_now=True)
+def run_incremental_ingest(
+    spark: SparkSession, source_dir: str, gold_path: str, checkpoint_path: str, max_files_per_trigger: int | None = None
+) -> None:
+    """Process every file currently in ``source_dir`` and wait for the end.
+
+    ``max_files_per_trigger`` cuts a first run over a large folder into
+    micro-batches; each is committed by itself.
+    """
+    query = start_incremental_ingest(
+        spark, source_dir, gold_path, checkpoint_path, available_now=True, max_files_per_trigger=max_files_per_trigger
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
