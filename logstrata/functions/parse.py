@@ -34,7 +34,7 @@ def ip(line: Column | str = "value") -> Column:
 
 def raw_timestamp(line: Column | str = "value") -> Column:
     """Text inside the first ``[...]`` pair, unparsed."""
-    return F.regexp_extract(_c(line), C.TIMESTAMP_PATTERN, 1)
+    return F.regexp_extract(_c(line), C.TIMESTAMP_FIRST_PATTERN, 1)
 
 
 def status(line: Column | str = "value") -> Column:
@@ -44,7 +44,7 @@ def status(line: Column | str = "value") -> Column:
 
 def request(line: Column | str = "value") -> Column:
     """The first ``"METHOD URI [PROTOCOL]"`` match, quotes included, or ``''``."""
-    return F.regexp_extract(_c(line), C.REQUEST_PATTERN, 0)
+    return F.regexp_extract(_c(line), C.REQUEST_TOKEN_PATTERN, 1)
 
 
 def request_part(request_token: Column | str, group: int) -> Column:
@@ -72,23 +72,6 @@ def bytes_value(token: Column | str) -> Column:
     )
 
 
-# Single-column forms (each does its own line-wide regex).
-def method(line: Column | str = "value") -> Column:
-    return request_part(request(line), 1)
-
-
-def uri(line: Column | str = "value") -> Column:
-    return request_part(request(line), 2)
-
-
-def protocol(line: Column | str = "value") -> Column:
-    return request_part(request(line), 3)
-
-
-def response_bytes(line: Column | str = "value") -> Column:
-    return bytes_value(bytes_token(line))
-
-
 def silver_tokens(line: Column | str = "value") -> list[Column]:
     """Step 1: every line-wide regex once."""
     return [

@@ -62,3 +62,31 @@ def test_edge_cases(spark):
     ]
     df = lines_frame(spark, lines)
     assert [tuple(r) for r in bronze_to_silver(df).collect()] == [tuple(r) for r in literal_silver(df).collect()]
+
+
+HARD = ['"' * 40, "[" * 40, '"a' * 20, '"a ' * 20, "[a" * 20, '"a b' * 15, '""" "" """ "', '[\u2028[x]', "[a\n[b]", "]][[]]", '"GET /' + "a" * 60, '" " "', '"a b"c" d"e', 'x"a b  c"d" e"']
+
+
+def test_long_runs_of_quotes_and_brackets(spark):
+    df = lines_frame(spark, HARD + [a + b for a in HARD for b in HARD])
+    assert [tuple(r) for r in bronze_to_silver(df).collect()] == [tuple(r) for r in literal_silver(df).collect()]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.sampled_from(list('""""[[]] \t\r\u0085\u2028ab')), max_size=40), min_size=1, max_size=80))
+def test_dense_quotes_and_brackets(spark, lines):
+    df = lines_frame(spark, lines)
+    assert [tuple(r) for r in bronze_to_silver(df).collect()] == [tuple(r) for r in literal_silver(df).collect()]
+
+
+def test_unterminated_lines_take_linear_time(spark):
+    import time
+
+    n = 16_384
+    kinds = ['h - - [x] "GET /' + "a" * n, "h " + "[" * n, "h " + '"' * n, "h " + '"a ' * (n // 3), "h " + '"a b' * (n // 4), "h " + "[a" * (n // 2), "h " + " 1" * (n // 2) + "x"]
+    bronze_to_silver(lines_frame(spark, kinds)).collect()
+    for line in kinds:
+        df = bronze_to_silver(lines_frame(spark, [line] * 40).coalesce(1))
+        start = time.perf_counter()
+        df.collect()
+        assert time.perf_counter() - start < 2, line[:20]
