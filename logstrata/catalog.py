@@ -9,22 +9,25 @@ folders under the shared checkpoint folder (:func:`logstrata.session.scratch_pat
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logstrata import constants as C
 from logstrata.operators import layers
 from logstrata.operators import metrics as M
 from logstrata.operators.requests import request_table
-from logstrata.plans.ingest import read_published_gold
+from logstrata.plans.ingest import read_published_gold, run_ingest
 from logstrata.plans.pipeline import PipelineResult, query_step_log, run_pipeline
 from logstrata.plans.sql import error_steps_query, successful_steps_query
 from logstrata.session import scratch_path
 from logstrata.sinks.files import export_csv, publish_parquet, read_csv_export, read_manifest
-from logstrata.sinks.tables import publish_table
+from logstrata.sinks.tables import publish_table, register_table
 from logstrata.functions.predicates import has_endpoint, is_client_error
 from logstrata.sources.events_log import access_log_lines
+from logstrata.sources.tables import load_gold
 from logstrata.sources.text import read_logs
 from logstrata.streaming.ingest import run_incremental_ingest
 
@@ -36,19 +39,6 @@ REQUEST_FILTER = {
     "date_to": "2024-01-20",
 }
 
-_lock = threading.RLock()
-_text_logs: dict[tuple, str] = {}
-_pipeline_runs: dict[tuple, PipelineResult] = {}
-
-
-def _key(spark: SparkSession, sf_dir: str) -> tuple:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:
-        app = id(spark)
-    return (app, sf_dir.rstrip("/"))
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
@@ -67,22 +57,22 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_text(spark: SparkSession, sf_dir: str) -> str:
     """The events-derived access log written once as text files; returns the folder."""
-    key = _key(spark, sf_dir)
-    with _lock:
-        if key not in _text_logs:
-            path = scratch_path(spark, "access-log-text")
-            bronze(spark, sf_dir).write.mode("overwrite").text(path)
-            _text_logs[key] = path
-        return _text_logs[key]
+    path = scratch_path(spark, "access-log-text")
+    bronze(spark, sf_dir).write.mode("overwrite").text(path)
+    return path
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> PipelineResult:
     """One full run (ingest, analyses, step log) over the text log of ``sf_dir``."""
-    key = _key(spark, sf_dir)
-    with _lock:
-        if key not in _pipeline_runs:
-            _pipeline_runs[key] = run_pipeline(spark, log_text(spark, sf_dir), table_name="access_log")
-        return _pipeline_runs[key]
+    return run_pipeline(spark, log_text(spark, sf_dir), table_name="access_log")
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Gold table that an ingest of the text log has published, read by name."""
+    root = scratch_path(spark, "published")
+    name = "access_log_" + root.rsplit("-", 1)[-1]
+    run_ingest(spark, log_text(spark, sf_dir), f"{root}/gold", f"{root}/manifest", name)
+    return load_gold(spark, table=name)
 
 
 # ----------------------------------------------------------------- query bodies
@@ -95,16 +85,16 @@ def q_gold_from_text(spark, sf_dir):
 
 
 def q_endpoint_filter(spark, sf_dir):
-    return gold(spark, sf_dir).filter(has_endpoint())
+    return published(spark, sf_dir).filter(has_endpoint())
 
 
 def q_client_error_rows(spark, sf_dir):
-    g = gold(spark, sf_dir)
+    g = published(spark, sf_dir)
     return g.filter(is_client_error(g.columns))
 
 
 def q_request_table_filtered(spark, sf_dir):
-    return request_table(gold(spark, sf_dir), **REQUEST_FILTER)
+    return request_table(published(spark, sf_dir), **REQUEST_FILTER)
 
 
 def q_parquet_publish(spark, sf_dir):
@@ -123,7 +113,37 @@ def q_table_publish(spark, sf_dir):
     path = scratch_path(spark, "gold-table")
     name = "access_log_" + path.rsplit("-", 1)[-1]
     publish_table(q_gold_from_text(spark, sf_dir), name, path)
-    return spark.table(name)
+    return load_gold(spark, table=name)
+
+
+def q_table_publish_by_date(spark, sf_dir):
+    path = scratch_path(spark, "gold-table-by-date")
+    name = "access_log_" + path.rsplit("-", 1)[-1]
+    publish_parquet(q_gold_from_text(spark, sf_dir), path, partition_by=["Date"])
+    register_table(spark, name, path, partition_by=["Date"])
+    return load_gold(spark, table=name)
+
+
+def _moved(gold: DataFrame) -> DataFrame:
+    """The same log a hundred days later."""
+    return gold.withColumn("Date", F.date_add("Date", 100))
+
+
+def q_parquet_republish_by_date(spark, sf_dir):
+    path = scratch_path(spark, "gold-again")
+    g = q_gold_from_text(spark, sf_dir)
+    publish_parquet(_moved(g), path, partition_by=["Date"])
+    publish_parquet(g, path, partition_by=["Date"])
+    return read_published_gold(spark, path)
+
+
+def q_table_republish_by_date(spark, sf_dir):
+    path = scratch_path(spark, "gold-table-again")
+    name = "access_log_" + path.rsplit("-", 1)[-1]
+    g = q_gold_from_text(spark, sf_dir)
+    publish_table(_moved(g), name, path, partition_by=["Date"])
+    publish_table(g, name, path, partition_by=["Date"])
+    return load_gold(spark, table=name)
 
 
 def q_csv_export(spark, sf_dir):
@@ -152,8 +172,16 @@ def q_audit_success(spark, sf_dir):
 
 
 def q_audit_errors(spark, sf_dir):
-    result = pipeline_run(spark, sf_dir)
-    return query_step_log(spark, result, _without_clock(error_steps_query()))
+    """A good run, then one whose source does not exist, in one step log: its failed steps, and what the good run loaded."""
+    root = scratch_path(spark, "audit-errors")
+    text = log_text(spark, sf_dir)
+    result = run_pipeline(spark, text, root, table_name="access_log", log_mode="append")
+    try:
+        run_pipeline(spark, f"{text}-missing", root, table_name="access_log", log_mode="append")
+    except AnalysisException:
+        pass  # what is asked of it is the row it leaves
+    loaded = f"(SELECT max(RecordCount) FROM logs_temp WHERE PipelineStep = '{C.STEP_TABLE}') AS Loaded"
+    return query_step_log(spark, result, error_steps_query().replace("SELECT *", f"SELECT PipelineStep, Status, {loaded}", 1))
 
 
 def q_streaming_ingest(spark, sf_dir):
@@ -164,7 +192,7 @@ def q_streaming_ingest(spark, sf_dir):
 
 def _on_gold(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(gold(spark, sf_dir))
+        return fn(published(spark, sf_dir))
 
     run.__name__ = f"q_{fn.__name__}"
     run.__doc__ = fn.__doc__
@@ -198,11 +226,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "requests_by_date": _on_gold(M.requests_by_date),
     "worst_error_weekday": _on_gold(M.worst_error_weekday),
     "dashboard_summary": _on_gold(M.dashboard_summary),
+    "dashboard_cube": _on_gold(M.dashboard_cube),
+    "dashboard_breakdowns": _on_gold(M.dashboard_breakdowns),
+    "dashboard_totals": _on_gold(M.dashboard_totals),
     "request_table_filtered": q_request_table_filtered,
     # sinks, read back
     "parquet_publish": q_parquet_publish,
     "parquet_publish_by_date": q_parquet_publish_by_date,
+    "parquet_republish_by_date": q_parquet_republish_by_date,
     "table_publish": q_table_publish,
+    "table_publish_by_date": q_table_publish_by_date,
+    "table_republish_by_date": q_table_republish_by_date,
     "csv_export": q_csv_export,
     "publish_manifest": q_publish_manifest,
     # step log and SQL over it

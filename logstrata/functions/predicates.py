@@ -49,11 +49,20 @@ def request_filter(
     endpoint=None,
     date_from: dt.date | str | None = None,
     date_to: dt.date | str | None = None,
+    status=None,
+    uri=None,
+    protocol=None,
+    weekday=None,
+    bytes_from: int | None = None,
+    bytes_to: int | None = None,
+    undated: bool | None = None,
 ) -> Column | None:
     """conjunction of the optional filters of the request table.
 
     Each argument is a single value or a collection (``IN``).  Dates are
-    inclusive.  Returns None when no filter was given.  Every term is a
+    inclusive, as are the sizes ``bytes_from`` and ``bytes_to``; ``undated``
+    keeps only rows without (True) or with (False) a date.  Returns None when
+    no filter was given.  Every term is a
     comparison on a stored column, so all of them push down to Parquet.
     """
     terms: list[Column] = []
@@ -65,6 +74,15 @@ def request_filter(
         terms.append(_member("Categoria_Status", status_category))
     if endpoint is not None:
         terms.append(_member("Endpoint", endpoint))
+    for column, value in (("Status", status), ("URI", uri), ("Protocol", protocol), ("Day_of_Week_Name", weekday)):
+        if value is not None:
+            terms.append(_member(column, value))
+    if bytes_from is not None:
+        terms.append(F.col("Bytes") >= int(bytes_from))
+    if bytes_to is not None:
+        terms.append(F.col("Bytes") <= int(bytes_to))
+    if undated is not None:
+        terms.append(F.col("Date").isNull() if undated else F.col("Date").isNotNull())
     if date_from is not None:
         terms.append(F.col("Date") >= F.lit(date_from).cast("date"))
     if date_to is not None:

@@ -12,10 +12,13 @@ results are deterministic; top-k is planned as ``TakeOrderedAndProject``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logstrata import constants as C
+from logstrata.functions.enrich import day_of_week, weekday_name
 from logstrata.functions.predicates import has_endpoint, is_client_error
 
 
@@ -52,9 +55,14 @@ def _mean_per_day():
 
 
 def _distinct_with_null(column: str):
-    """count(DISTINCT c) plus one when a NULL occurs (same as A8 + count)."""
+    """count(DISTINCT c) plus one when a NULL occurs (same as A8 + count; 0 without rows)."""
     c = F.col(column)
-    return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
+    return F.count_distinct(c) + F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0))
+
+
+def mean_bytes() -> Column:
+    """Mean of Bytes from an integer sum, so its digits do not depend on the order of tasks."""
+    return F.try_divide(F.sum("Bytes").cast("double"), F.count("Bytes"))
 
 
 # ---------------------------------------------------------------- the six analyses
@@ -85,7 +93,7 @@ def response_size(gold: DataFrame) -> DataFrame:
         F.sum(b).cast("bigint").alias("total_bytes"),
         F.max(b).alias("max_bytes"),
         F.min(b).alias("min_bytes"),
-        F.avg(b).alias("avg_bytes"),
+        mean_bytes().alias("avg_bytes"),
     )
 
 
@@ -150,5 +158,43 @@ def dashboard_summary(gold: DataFrame) -> DataFrame:
         _mean_per_day().alias("mean_requests_per_day"),
         _distinct_with_null("Date").cast("bigint").alias("distinct_days"),
         _distinct_with_null("URI").cast("bigint").alias("distinct_uris"),
-        F.avg("Bytes").alias("avg_bytes"),
+        mean_bytes().alias("avg_bytes"),
+    )
+
+
+# ---------------------------------------------------------------- dashboard from one scan
+def dashboard_cube(gold: DataFrame) -> DataFrame:
+    """Requests per date, method, protocol and status category: one scan, one exchange.
+
+    All counts and means of the dashboard except the distinct clients and
+    URIs follow from these rows; weekday names follow from the date.
+    """
+    return gold.groupBy("Date", "Method", "Protocol", "Categoria_Status").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("IP").alias("with_ip"),
+        F.sum("Bytes").alias("bytes"), F.count("Bytes").alias("sized"),
+    )
+
+
+def dashboard_breakdowns(gold: DataFrame) -> DataFrame:
+    """Panel, key (as text) and count, all from one reading of the log.
+
+    The panels are grouped from the cube, whose exchange Spark computes once.
+    """
+    cube = dashboard_cube(gold)
+    panels = [(name, cube, F.col(column).cast("string")) for name, column in (
+        ("method", "Method"), ("status", "Categoria_Status"), ("protocol", "Protocol"), ("date", "Date"))]
+    panels.append(("error_weekday", cube.where(is_client_error(cube.columns)), weekday_name(day_of_week("Date"))))
+    parts = [rows.groupBy(key.alias("key")).agg(F.sum("requests").alias("count")).select(F.lit(name).alias("panel"), "key", "count") for name, rows, key in panels]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def dashboard_totals(gold: DataFrame) -> DataFrame:
+    """D1, D3, D4 and D6 from the cube, as one row; counts are 0 and means NULL without rows."""
+    dated = F.col("Date").isNotNull()
+    days = F.count_distinct("Date")
+    return dashboard_cube(gold).agg(
+        F.coalesce(F.sum("with_ip"), F.lit(0)).alias("total_requests"),
+        _distinct_with_null("Date").cast("bigint").alias("distinct_days"),
+        F.try_divide(F.sum(F.when(dated, F.col("requests"))).cast("double"), days).alias("mean_requests_per_day"),
+        F.try_divide(F.sum("bytes").cast("double"), F.sum("sized")).alias("avg_bytes"),
     )

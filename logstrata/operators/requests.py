@@ -11,8 +11,10 @@ from logstrata.schemas import GOLD_COLUMNS
 def request_table(gold: DataFrame, **filters) -> DataFrame:
     """All Gold columns of the requests that pass the given filters.
 
-    Keyword arguments: ``ip``, ``method``, ``status_category``, ``endpoint``
-    (a value or a collection), ``date_from``, ``date_to`` (inclusive).  The
+    Keyword arguments: ``ip``, ``method``, ``uri``, ``protocol``, ``status``,
+    ``status_category``, ``endpoint``, ``weekday`` (a value or a collection),
+    ``date_from``, ``date_to``, ``bytes_from``, ``bytes_to`` (inclusive),
+    ``undated`` (True or False).  The
     filter is a plain conjunction on stored columns, so on a Parquet table it
     is pushed into the scan (and prunes ``Date`` partitions when the table is
     partitioned by date).

@@ -117,7 +117,7 @@ def _distinct(column: str, name: str) -> str:
 
 def _distinct_with_null(column: str) -> str:
     return (
-        f"CAST(count(DISTINCT \"{column}\") + max(CASE WHEN \"{column}\" IS NULL THEN 1 ELSE 0 END) AS BIGINT)"
+        f"CAST(count(DISTINCT \"{column}\") + coalesce(max(CASE WHEN \"{column}\" IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT)"
     )
 
 
@@ -224,18 +224,38 @@ def oracle_sql() -> dict[str, str]:
             f"{_distinct_with_null('URI')} AS distinct_uris, "
             "avg(\"Bytes\") AS avg_bytes FROM gold"
         ),
+        "dashboard_cube": p
+        + (
+            "SELECT \"Date\", \"Method\", \"Protocol\", \"Categoria_Status\", count(*) AS requests, count(\"IP\") AS with_ip, "
+            "CAST(sum(\"Bytes\") AS BIGINT) AS bytes, count(\"Bytes\") AS sized FROM gold GROUP BY ALL"
+        ),
+        "dashboard_breakdowns": p + " UNION ALL ".join(
+            f"SELECT '{panel}' AS panel, CAST(\"{column}\" AS VARCHAR) AS key, count(*) AS \"count\" FROM gold WHERE {where} GROUP BY 2"
+            for panel, column, where in (
+                ("method", "Method", "true"), ("status", "Categoria_Status", "true"), ("protocol", "Protocol", "true"),
+                ("date", "Date", "true"), ("error_weekday", "Day_of_Week_Name", CLIENT_ERRORS),
+            )
+        ),
+        "dashboard_totals": p
+        + (
+            f"SELECT count(\"IP\") AS total_requests, {_distinct_with_null('Date')} AS distinct_days, "
+            "CAST(count(\"Date\") AS DOUBLE) / NULLIF(count(DISTINCT \"Date\"), 0) AS mean_requests_per_day, "
+            "avg(\"Bytes\") AS avg_bytes FROM gold"
+        ),
         "request_table_filtered": p + f"SELECT * FROM gold WHERE {_request_filter_sql()}",
         "parquet_publish": gold_all,
         "parquet_publish_by_date": gold_all,
+        "parquet_republish_by_date": gold_all,
         "table_publish": gold_all,
+        "table_publish_by_date": gold_all,
+        "table_republish_by_date": gold_all,
         "csv_export": gold_all,
         "publish_manifest": "SELECT count(*) AS row_count FROM events",
         "audit_steps": _audit(with_start=True, with_message=False),
         "audit_success": _audit(with_start=False, with_message=True),
         "audit_errors": (
-            "SELECT CAST(NULL AS VARCHAR) AS \"PipelineStep\", CAST(NULL AS VARCHAR) AS \"Status\", "
-            "CAST(NULL AS VARCHAR) AS \"Message\", CAST(NULL AS BIGINT) AS \"RecordCount\" "
-            "FROM events WHERE false"
+            f"SELECT {_q(C.STEP_READ)} AS \"PipelineStep\", {_q(C.STATUS_ERROR)} AS \"Status\", "
+            "count(*) AS \"Loaded\" FROM events"
         ),
         "streaming_ingest": gold_all,
     }
