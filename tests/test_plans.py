@@ -11,7 +11,6 @@ from logstrata.operators import metrics as M
 from logstrata.operators.requests import request_table
 from logstrata.plans.ingest import read_published_gold
 from logstrata.sinks import publish_parquet
-import __spark_entry__ as E
 
 
 def plan(df) -> str:
@@ -60,8 +59,31 @@ def test_parse_is_one_codegen_stage_without_shuffle(spark):
     assert "* Project" in p  # "*" marks operators compiled by whole-stage codegen
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_in_any_query_plan(spark, name):
-    p = plan(E.queries()[name](spark, SF_SMALL))
+    p = plan(catalog.QUERIES[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert marker not in p
+
+
+FILTERED = {
+    "endpoint_filter": "Not(EqualTo(Endpoint,))",
+    "top_endpoints": "Not(EqualTo(Endpoint,))",
+    "client_error_rows": "EqualTo(Categoria_Status,Erro do Cliente)",
+    "client_errors_by_weekday": "EqualTo(Categoria_Status,Erro do Cliente)",
+    "worst_error_weekday": "EqualTo(Categoria_Status,Erro do Cliente)",
+    "request_table_filtered": "In(Method, [GET,POST])",
+}
+
+
+@pytest.mark.parametrize("name", sorted(FILTERED))
+def test_registered_filters_reach_the_published_table(spark, name):
+    p = plan(catalog.QUERIES[name](spark, SF_SMALL))
+    assert FILTERED[name] in p.replace("In(Method,[GET, POST])", "In(Method, [GET,POST])").replace("In(Method, [GET, POST])", "In(Method, [GET,POST])")
+    assert "regexp_extract" not in p
+
+
+def test_breakdowns_read_the_log_once(published):
+    rows = M.dashboard_breakdowns(published)
+    rows.collect()
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= 3

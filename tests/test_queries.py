@@ -5,6 +5,8 @@ import pytest
 
 from conftest import SF_SMALL
 import __spark_entry__ as E
+from logstrata.catalog import QUERIES
+from logstrata.oracle import oracle_sql
 
 TABLES = "events".split()
 
@@ -30,13 +32,13 @@ SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "dou
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     duck_types = dict(zip(rel.columns, map(str, rel.types)))
     for col, typ in df.dtypes:
