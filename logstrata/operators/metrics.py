@@ -12,8 +12,6 @@ results are deterministic; top-k is planned as ``TakeOrderedAndProject``
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -178,14 +176,18 @@ def dashboard_cube(gold: DataFrame) -> DataFrame:
 def dashboard_breakdowns(gold: DataFrame) -> DataFrame:
     """Panel, key (as text) and count, all from one reading of the log.
 
-    The panels are grouped from the cube, whose exchange Spark computes once.
+    Every row of the cube goes to each of its panels, so the log itself is
+    read and grouped once.
     """
     cube = dashboard_cube(gold)
-    panels = [(name, cube, F.col(column).cast("string")) for name, column in (
-        ("method", "Method"), ("status", "Categoria_Status"), ("protocol", "Protocol"), ("date", "Date"))]
-    panels.append(("error_weekday", cube.where(is_client_error(cube.columns)), weekday_name(day_of_week("Date"))))
-    parts = [rows.groupBy(key.alias("key")).agg(F.sum("requests").alias("count")).select(F.lit(name).alias("panel"), "key", "count") for name, rows, key in panels]
-    return reduce(DataFrame.unionAll, parts)
+
+    def entry(panel: str, key: Column) -> Column:
+        return F.struct(F.lit(panel).alias("panel"), key.cast("string").alias("key"))
+
+    entries = [entry("method", F.col("Method")), entry("status", F.col("Categoria_Status")), entry("protocol", F.col("Protocol")), entry("date", F.col("Date"))]
+    error = F.when(is_client_error(cube.columns), entry("error_weekday", weekday_name(day_of_week("Date"))))
+    rows = cube.select(F.explode(F.array(*entries, error)).alias("entry"), "requests").where("entry IS NOT NULL")
+    return rows.groupBy("entry.panel", "entry.key").agg(F.sum("requests").alias("count"))
 
 
 def dashboard_totals(gold: DataFrame) -> DataFrame:
