@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_cases import DOCS, prose
+from llm_cases import DOCS, none, odd, odd_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_cases import none, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
