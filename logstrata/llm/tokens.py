@@ -3,58 +3,100 @@
 from __future__ import annotations
 
 import os
-from array import array
-from collections.abc import Callable
+import re
 from functools import lru_cache
 
+import numpy as np
 from tokenizers import Tokenizer
 
-from logstrata.llm.common import space_segments
-
-
-def words_apart(text: str) -> list[str]:
-    """For tokenizers that drop blanks between words: cut at spaces and line feeds."""
-    return [w for w in text.replace("\n", " ").split(" ") if w]
+_TWO_BLANKS = re.compile(r"\s\s")
+#: Marks that end a word; a letter and one of these are never one piece.
+_MARKS = frozenset(".,;:!?")
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 class SegmentEncoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
-    ``cut`` must cut only where no token, normalisation or split of the
-    tokenizer reaches across.  Texts that hold the string of an added token
-    are given to the library whole.  What is kept of earlier segments is
-    bounded in entries and segment length.
+    ``blanks_kept`` is for byte-level tokenizers, whose pieces take a blank
+    only at their start: where no two blanks meet, a text is cut before each
+    space and line feed.  Otherwise the tokenizer drops blanks and a text is
+    cut at them.  Either way no piece reaches across a cut.  Other texts, and
+    those that hold the string of an added token, go to the library whole.
+    What is kept of earlier segments is bounded in entries and length.
     """
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], entries: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, blanks_kept: bool, entries: int = 600_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self._tokenizer = Tokenizer.from_file(path)
-        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._cut, self._entries, self._longest = cut, entries, longest
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._added = [t.content for t in added.values()]
+        self._between_id, self._between = next((i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.normalized))
+        self._blanks_kept, self._entries, self._longest = blanks_kept, entries, longest
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._marks = {m: self._ask([m])[0] for m in _MARKS}
+
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that hold no added token, put to the library as one text with an added token between each two."""
+        out: list[bytes] = []
+        for start in range(0, len(texts), 4096):
+            own = texts[start:start + 4096]
+            ids = np.array(self._tokenizer.encode_batch_fast([self._between.join(own)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self._between_id)
+            if len(cuts) != len(own) - 1:
+                raise ValueError("the added token did not keep the texts apart")
+            coded, cuts = ids.tobytes(), (4 * cuts).tolist()
+            out += [coded[a:b] for a, b in zip([0] + [c + 4 for c in cuts], cuts + [len(coded)])]
+        return out
 
-    def _segments(self, text: str) -> list[str]:
-        return [text] if any(a in text for a in self._added) else self._cut(text)
+    def _ask_whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(coded.ids, "<u4").tobytes() for coded in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, text: str | None) -> list[str] | None:
+        """Keys of the segments; None for a text to be encoded whole."""
+        if not text:
+            return []
+        if any(a in text for a in self._added):
+            return None
+        if not self._blanks_kept:
+            return text.replace("\n", " ").split(" ")
+        if _TWO_BLANKS.search(text):
+            return None
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = " " + keys[0]  # no blank before the first word; a space marks that
+        return keys
+
+    def _plain(self, key: str) -> str:
+        """The segment that a key stands for."""
+        if not self._blanks_kept or key[:1] == "\n":
+            return key
+        return key[1:] if key[:1] == " " else " " + key
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [self._segments(t) if t else [] for t in texts]
-        new = set().union(*cuts) - self._known.keys()
-        if len(self._known) + len(new) > self._entries:
+        cuts = [self._cut(t) for t in texts]
+        wanted = set().union(*(c for c in cuts if c))
+        # What these texts need is put together once, so most look-ups are in a small table.
+        here = {k: b for k in wanted if (b := self._known.get(k)) is not None}
+        new = wanted - here.keys()
+        again = {k: b for k in new if (b := self._older.get(k)) is not None}
+        new -= again.keys()
+        marked = {k for k in new if len(k) > 1 and k[-1] in _MARKS and k[-2] in _LETTERS}
+        cores = {c: b for k in marked if (b := self._known.get(c := k[:-1]) or self._older.get(c)) is not None}
+        asked = sorted((new - marked) | ({k[:-1] for k in marked} - cores.keys()))
+        fresh = dict(zip(asked, self._ask(list(map(self._plain, asked)))))
+        cores |= fresh
+        fresh |= again
+        if len(self._known) + len(fresh) > self._entries:
             self._older, self._known = self._known, {}
-            new = set().union(*cuts)
-        again = {s: b for s in new if (b := self._older.get(s)) is not None}
-        self._known.update(again)
-        new = sorted(new - again.keys())
-        for segment, coded in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self._known[segment] = array("I", coded.ids).tobytes()
-        out = [b"".join(map(self._known.__getitem__, c)) for c in cuts]
-        for segment in new:
-            if len(segment) > self._longest:
-                del self._known[segment]
-        return out
+        self._known.update((k, b) for k, b in fresh.items() if len(k) <= self._longest)
+        here |= fresh
+        here |= {k: cores[k[:-1]] + self._marks[k[-1]] for k in marked}  # not kept: quickly made again
+        whole = iter(self._ask_whole([t for t, c in zip(texts, cuts) if c is None]))
+        get = here.__getitem__
+        return [next(whole) if c is None else b"".join(map(get, c)) for c in cuts]
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str, blanks_kept: bool) -> SegmentEncoder:
-    return SegmentEncoder(path, space_segments if blanks_kept else words_apart)
+    return SegmentEncoder(path, blanks_kept)
