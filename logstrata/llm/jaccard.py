@@ -13,9 +13,8 @@ only very frequent shingles.
 Before that, shingles that no other document has are found by a count over
 hash buckets; a document in which they are more than the threshold allows can
 link with nothing and gets no signatures.  Equal sets are one set.  Pairs
-that share a signature are verified on the whole sets, in rounds that first
-try one partner for each document and then only what is still apart, so a
-group of near copies costs about one comparison a document.
+that share a signature are verified on the whole sets: first one partner for each
+document, then, tile by tile, only what a signature still holds apart.
 """
 
 from __future__ import annotations
@@ -30,13 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata.llm.common import components, pieces_for, table, text_bytes, written
+from logstrata.llm.embeddings import forest
 
 WORDS = 5
 PERCENT = 80
 #: Counted copies (two a chunk at most) from which a shingle is very frequent.
 FREQUENT = 64
-_BANDS = 128
 _LOT = 512
+_TILE = 256
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -137,8 +137,9 @@ class Bands:
 
 
 def band_starts(percent: int) -> list[int]:
+    """First size of each band, beyond the size of any set."""
     first = [1]
-    while len(first) < _BANDS + 2:
+    while first[-1] < 1 << 40:
         first.append(max(first[-1] + 1, -(-100 * first[-1] // percent)))
     return first
 
@@ -231,22 +232,23 @@ def near_duplicate_groups(
         number = np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(32)
         owners = bucket.column("chunk").to_pylist()
         codes = [np.frombuffer(b, "<u4") for b in bucket.column("codes").to_pylist()]
-        values, counts = np.unique(np.concatenate(codes), return_counts=True)
-        known, frequent = values[counts > 1], values[counts >= FREQUENT]
+        values = np.sort(np.concatenate(codes))
+        known = np.unique(values[1:][values[1:] == values[:-1]])
+        frequent = np.unique(values[FREQUENT - 1:][values[FREQUENT - 1:] == values[:max(0, len(values) - FREQUENT + 1)]])
         copies = [np.frombuffer(b, _COPY) for b in bucket.column("copies").to_pylist()]
         sets = np.sort(np.concatenate(copies), order=["digest", "doc"])
         opening = np.concatenate([np.ones(min(1, len(sets)), bool), sets["digest"][1:] != sets["digest"][:-1]])
         smallest = sets["doc"][opening][np.cumsum(opening) - 1] if len(sets) else sets["doc"]
-        bands = np.bincount(sets["band"][opening], minlength=_BANDS).tolist()
+        bands = np.bincount(sets["band"][opening], minlength=len(first) - 1).tolist()
         rows = []
         for i, (owner, own) in enumerate(zip(owners, codes)):
-            mine = np.unique(own)
+            mine = own[np.concatenate([np.ones(min(1, len(own)), bool), own[1:] != own[:-1]])]
             at = _places(sets, copies[i])
             lost = smallest[at] != copies[i]["doc"]
             twins = np.stack([copies[i]["doc"][lost], smallest[at][lost]], axis=1).astype("<i8")
             rows.append((
-                owner, (mine[np.isin(mine, known)].astype(np.uint64) | number).tobytes(),
-                (mine[np.isin(mine, frequent)].astype(np.uint64) | number).tobytes(), twins.tobytes(), bands if i == 0 else None,
+                owner, (mine[_within(mine, known)].astype(np.uint64) | number).tobytes(),
+                (mine[_within(mine, frequent)].astype(np.uint64) | number).tobytes(), twins.tobytes(), bands if i == 0 else None,
             ))
         return pa.table([list(c) for c in zip(*rows)], schema=reply_schema)
 
@@ -255,7 +257,7 @@ def near_duplicate_groups(
     replies = sent.groupBy("bucket").applyInArrow(reply, "chunk long, known binary, frequent binary, twins binary, bands array<long>")
     replies = written(replies, "replies")
     counted = replies.where("bands IS NOT NULL").select(F.posexplode("bands").alias("band", "n")).groupBy("band").agg(F.sum("n"))
-    counts = [0] * _BANDS
+    counts = [0] * (len(first) - 1)
     for band, n in counted.collect():  # one row for each of the size bands
         counts[band] = n
     bands = Bands(counts, percent)
@@ -303,6 +305,7 @@ def _places(sets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in ``known`` (sorted)."""
     if not len(known):
         return np.zeros(len(values), bool)
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
@@ -322,23 +325,71 @@ def _linked(rows: DataFrame, percent: int) -> DataFrame:
     edges = written(edges.union(_verified(pairs, sets, percent)), "links")
     member = components(edges, "components")
 
-    # Then one from each component that a signature still holds apart; at last, all pairs still apart.
-    for last in (False, True):
-        held = signed.join(member.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        apart = held.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        held = written(held.join(apart.select("signature"), "signature", "left_semi").select("signature", "doc", "n", "component"), "apart")
-        if last:
-            one, two = (held.select("signature", *[F.col(c).alias(c + s) for c in ("doc", "n", "component")]) for s in ("_a", "_b"))
-            near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-            pairs = one.join(two, "signature").where(F.col("component_a") < F.col("component_b")).where(near)
-            pairs = pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
-        else:
-            heads = held.groupBy("signature", "component").agg(F.min("doc").alias("b"))
-            top = heads.groupBy("signature").agg(F.min("b").alias("a"))
-            pairs = heads.join(top, "signature").where("a <> b").select("a", "b")
-        edges = written(edges.union(_verified(pairs.distinct(), sets, percent)), "links")
-        member = components(edges, "components")
-    return member
+    # Documents of one component need no more; what a signature still holds apart is compared in full.
+    held = signed.join(member.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    apart = held.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    held = held.join(apart.select("signature"), "signature", "left_semi").groupBy("doc", "a").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+    held = written(held, "apart")
+    family = components(held.select(F.col("doc").alias("a"), F.col("a").alias("b")), "families").toDF("doc", "family")
+    rest = held.groupBy("doc").agg(F.first("n").alias("n"), F.first("component").alias("component")).join(family, "doc")
+    edges = written(edges.union(_compared(written(rest, "rest"), sets, percent)), "links")
+    return components(edges, "components")
+
+
+def _compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within each family of ``rest`` (doc, n, component, family), as edges that connect what is connected.
+
+    A family is cut into tiles by size band, component and hash; a tile meets
+    the tiles of its own and the next band, unless both hold one and the same
+    component.  Each meeting reports a spanning forest, at most one edge a
+    document, however many pairs link.
+    """
+    step = math.log(100 / percent) * (1 + 1e-9)  # sets that link are at most one band apart
+    rest = rest.withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
+    place = ["family", "band", "component"]
+    many = rest.groupBy(*place).agg(F.count("*").alias("docs")).withColumn("pure", F.col("docs") > _TILE // 2)
+    # A large component has tiles of its own; small ones share.
+    owner = F.when(F.col("pure"), F.col("component"))
+    shared = many.groupBy("family", "band", owner.alias("owner")).agg(F.ceil(F.sum("docs") / _TILE).cast("int").alias("tiles"))
+    shared = written(shared, "tiles")
+    same = F.expr("owner <=> own")
+    doc = rest.join(many.select(*place, "pure"), place).withColumn("own", owner).drop("component", "pure")
+    doc = doc.join(shared.withColumnsRenamed({"family": "f", "band": "g"}), (F.col("family") == F.col("f")) & (F.col("band") == F.col("g")) & same)
+    tile = F.struct("band", "own", F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int").alias("part"))
+    doc = doc.select("doc", "n", "family", "band", "own", tile.alias("tile"))
+    other = shared.select(F.col("family").alias("f"), F.col("band").alias("g"), "owner", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("p"))
+    near = F.explode(F.array(*[F.col("g") + d for d in (-1, 0, 1)])).alias("at")
+    other = other.select("f", near, F.struct(F.col("g").alias("band"), F.col("owner").alias("own"), F.col("p").alias("part")).alias("other"))
+    # One component that fills both tiles is connected already.
+    met = doc.join(other, (F.col("family") == F.col("f")) & (F.col("band") == F.col("at")))
+    met = met.where(~F.coalesce(F.col("own") == F.col("other.own"), F.lit(False)))
+    met = met.select("doc", "family", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), (F.col("tile") <= F.col("other")).alias("is_low"))
+    met = met.join(sets, "doc")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(rows: pa.Table) -> pa.Table:
+        low = rows.column("is_low").to_numpy(zero_copy_only=False)
+        ids, sizes = rows.column("doc").to_numpy(), rows.column("n").to_numpy()
+        held = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+        same = bool(low.all()) or not low.any()
+        one = np.arange(len(ids)) if same else np.flatnonzero(low)
+        two = one if same else np.flatnonzero(~low)
+        owner = np.repeat(np.arange(len(two)), [len(held[j]) for j in two])
+        values = np.concatenate([held[j] for j in two])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        links = np.zeros((len(one), len(two)), bool)
+        for row, i in enumerate(one):
+            first, last = (np.searchsorted(values, held[i], side) for side in ("left", "right"))
+            width = last - first
+            places = np.repeat(first - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
+            both = np.bincount(owner[places], minlength=len(two))
+            links[row] = 100 * both >= percent * (sizes[i] + sizes[two] - both)
+        node, root = forest(links, same)
+        joined = ids[one] if same else np.concatenate([ids[one], ids[two]])
+        return pa.table([joined[node], joined[root]], schema=schema)
+
+    return met.groupBy("family", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -367,3 +418,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def op4_segment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP4_SQL = f"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), shingle AS MATERIALIZED (
+    SELECT DISTINCT doc_id, shingle FROM (
+        SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {WORDS} THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - {WORDS - 2}), lambda i: array_to_string(words[i:i + {WORDS - 1}], ' ')) END) AS shingle
+        FROM word)
+), size AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), link AS MATERIALIZED (
+    SELECT a, b FROM common JOIN size s ON s.doc_id = a JOIN size t ON t.doc_id = b WHERE 100 * common.n >= {PERCENT} * (s.n + t.n - common.n)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), smallest AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(size.n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d JOIN smallest ON smallest.a = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logstrata.llm.bpe import op3_bpe
 from logstrata.llm.embeddings import OP1_SQL, op1_int8_tiles
 from logstrata.llm.forest import op8_projection_forest
-from logstrata.llm.jaccard import op4_segment_jaccard
+from logstrata.llm.jaccard import OP4_SQL, op4_segment_jaccard
 from logstrata.llm.langid import op7_ppm_language
 from logstrata.llm.linededup import OP6_SQL, op6_line_spread
 from logstrata.llm.packing import op9_bin_completion
@@ -31,4 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL with the same columns and rows, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {"op1_int8_tiles": OP1_SQL, "op2_window_repeats": OP2_SQL, "op6_line_spread": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_int8_tiles": OP1_SQL,
+    "op2_window_repeats": OP2_SQL,
+    "op4_segment_jaccard": OP4_SQL,
+    "op6_line_spread": OP6_SQL,
+}
