@@ -72,13 +72,19 @@ class _Windows:
         """Mask of the words covered by windows whose hash is in ``known`` (sorted)."""
         edge = np.zeros(self.size + 1, np.int64)
         if len(known):
-            place = np.minimum(np.searchsorted(known, self.hashes), len(known) - 1)
-            starts = self.at[known[place] == self.hashes]
+            starts = self.at[_within(self.hashes, known)]
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + self.window, -1)
         return np.cumsum(edge)[:-1] > 0
 
 
+def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in ``known`` (sorted)."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _at_most_two(values: np.ndarray) -> np.ndarray:
     """Sorted values, each at most twice."""
     values = np.sort(values)
@@ -122,7 +128,7 @@ def remove_repeats(
         arrays = [np.frombuffer(b, np.uint64) for b in bucket.column("__hashes").to_pylist()]
         everything = np.sort(np.concatenate(arrays))
         twice = np.unique(everything[1:][everything[1:] == everything[:-1]])
-        rows = [(o, np.intersect1d(a, twice)) for o, a in zip(owners, arrays)]
+        rows = [(o, a[_within(a, twice)]) for o, a in zip(owners, arrays)]
         rows = [(o, a) for o, a in rows if len(a)]
         return pa.table([[o for o, _ in rows], [a.tobytes() for _, a in rows]], schema=answers)
 
