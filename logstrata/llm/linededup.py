@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import table
+from logstrata.llm.common import table, written
 
 #: A line on so many distinct sites is boilerplate.
 MIN_SITES = 8
@@ -45,12 +45,14 @@ def boilerplate_lines(docs: DataFrame, text_col: str = "text", site_col: str = "
     line = docs.where(F.col(site_col).isNotNull()).select(F.col(site_col).cast("string").alias("site"), F.explode(_lines(text_col)).alias("line"))
     line = line.select("site", _bare(F.col("line")).alias("line")).where("line <> ''").select(_key(F.col("line")).alias("key"), "site")
     spread = line.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
-    spread = spread.select("key", F.hll_sketch_estimate("sketch").alias("sites"))
     margin = max(1, round(_SIGMAS * _RSE * min_sites + 0.5))
+    spread = spread.select("key", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - margin)
+    spread = written(spread, "line-spread")  # the few lines that may be boilerplate
     clear = spread.where(F.col("sites") > min_sites + margin).select("key")
-    near = spread.where(F.col("sites").between(min_sites - margin, min_sites + margin)).select("key")
+    near = spread.where(F.col("sites") <= min_sites + margin).select("key")
     exact = line.join(near, "key", "left_semi").groupBy("key").agg(F.count_distinct("site").alias("sites"))
-    return clear.union(exact.where(F.col("sites") >= min_sites).select("key"))
+    # Written, so that a join with it shuffles both sides and a line on very many documents can be split.
+    return written(clear.union(exact.where(F.col("sites") >= min_sites).select("key")), "boilerplate")
 
 
 def dedup_lines(
