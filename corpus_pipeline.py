@@ -21,8 +21,9 @@ from logstrata.llm.substring import remove_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A text that costs more bits a byte under every language is in none of them; plain prose costs 2 to 4.5.
-REJECT_BITS = 6.5
+#: A text that costs more bits a byte under every language than its plain bytes is in none of them.  Prose costs
+#: 2 to 4.5, short prose around a key, a password or a number up to 7.4.
+REJECT_BITS = 8.0
 
 
 def _with_text(docs: DataFrame, text: F.Column, columns: list[str]) -> DataFrame:
