@@ -4,7 +4,8 @@ Only lengths matter for packing, and there are at most ``capacity`` of them,
 so the search runs on counts by length (a table of fixed size for any
 corpus): best-fit decreasing gives the first incumbent, then a branch and
 bound completes bins around the largest length left, over undominated
-fillings, cutting branches whose waste can no longer beat the incumbent.  The
+fillings, cutting branches whose waste can no longer beat the incumbent, in
+passes that widen until nothing is left out or the node budget is spent.  The
 plan is a list of fillings with multiplicities; documents meet it by their
 rank among those of equal length, which Spark computes in salted groups.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from bisect import bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,6 +33,8 @@ END_ID = 1
 CAPACITY = 4096
 #: Pieces of one length and salt; a group that one task ranks.
 SALT_ROWS = 20_000
+#: Nodes of the search for each length, at least.
+DESCENTS = 16
 
 #: (number of bins, lengths in a bin, largest first)
 Filling = tuple[int, tuple[int, ...]]
@@ -89,7 +93,16 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[Filling]:
 
 @dataclass
 class BinCompletion:
-    """Branch and bound on counts by length.  ``nodes`` bounds the search, which only ever improves on the incumbent."""
+    """Branch and bound on counts by length, by limited discrepancy.
+
+    A pass follows the best filling everywhere, but for a limited number of
+    deviations (a filling further down the list, or fewer bins of it than
+    there could be).  The limit, 0, then ``branches``, doubles from pass to
+    pass, and with it the ``steps`` for listing fillings, until a pass left
+    nothing out, which proves the packing best, or the lower bound is met.
+    ``nodes``, or ``DESCENTS`` for each length if that is more, bounds the
+    search, which only ever improves on the incumbent.
+    """
 
     counts: dict[int, int]
     capacity: int
@@ -98,48 +111,62 @@ class BinCompletion:
     steps: int = 400
     best: list[Filling] = field(default_factory=list)
     bins: int = 0
+    #: Whether ``best`` is known to be optimal.
+    proved: bool = False
 
     def solve(self) -> list[Filling]:
         self.best = best_fit_decreasing(self.counts, self.capacity)
         self.bins = sum(n for n, _ in self.best)
         self.bound = lower_bound(self.counts, self.capacity)
         self.volume = sum(n * c for n, c in self.counts.items())
-        if self.bins > self.bound:
-            self._search()
+        self.left = max(self.nodes, DESCENTS * len(self.counts))
+        limit = 0
+        while self.bins > self.bound and self.left > 0 and not self.proved:
+            self.proved = self._search(limit)
+            limit = max(1, self.branches, 2 * limit)
+        self.proved = self.proved or self.bins == self.bound
         return self.best
 
-    def _search(self) -> None:
-        """Depth first with its own stack; each level holds the fillings not yet tried for the largest length left."""
+    def _search(self, limit: int) -> bool:
+        """Depth first with its own stack; each level holds what is not yet tried for the largest length left.  Whether nothing was left out."""
         counts, lengths = dict(self.counts), sorted(self.counts)
         path: list[Filling] = []
         used = waste = 0
-        stack = [self._fillings(counts, lengths)]
-        nodes = 0
-        while stack and nodes < self.nodes and self.bins > self.bound:
-            if not stack[-1]:
+        tries, whole = self.steps * (limit + 1), True
+        stack = [self._children(counts, lengths, limit, tries, frozenset(), waste)]
+        while stack and self.bins > self.bound:
+            children, complete = stack[-1]
+            if not children:
+                whole = whole and complete
                 stack.pop()
                 if path:
                     bins, filling = path.pop()
                     self._give(counts, lengths, bins, filling)
                     used, waste = used - bins, waste - bins * (self.capacity - sum(filling))
                 continue
-            filling = stack[-1].pop(0)
-            bins = min(counts[n] // filling.count(n) for n in set(filling))
-            nodes += 1
+            if self.left <= 0:
+                return False
+            self.left -= 1
+            bins, filling, cost, banned = children.pop()
             more = bins * (self.capacity - sum(filling))
             # What is lost cannot be made good: a better packing has at least one bin less.
-            if waste + more > (self.bins - 1) * self.capacity - self.volume:
+            if waste + more > self._spare():
                 continue
             self._take(counts, lengths, bins, filling)
             path.append((bins, filling))
             used, waste = used + bins, waste + more
             if not lengths:
                 self.best, self.bins = list(path), used
-                bins, filling = path.pop()
-                self._give(counts, lengths, bins, filling)
-                used, waste = used - bins, waste - bins * (self.capacity - sum(filling))
+                stack.append(([], True))
                 continue
-            stack.append(self._fillings(counts, lengths))
+            if lengths[-1] != filling[0]:
+                banned = frozenset()
+            stack.append(self._children(counts, lengths, cost, tries, banned, waste))
+        return whole
+
+    def _spare(self) -> int:
+        """Waste that a packing with one bin less than the incumbent has."""
+        return (self.bins - 1) * self.capacity - self.volume
 
     @staticmethod
     def _take(counts: dict[int, int], lengths: list[int], bins: int, filling: tuple[int, ...]) -> None:
@@ -157,46 +184,114 @@ class BinCompletion:
         for n in filling:
             counts[n] += bins
 
-    def _fillings(self, counts: dict[int, int], lengths: list[int]) -> list[tuple[int, ...]]:
-        """Undominated fillings around the largest length, least waste first.
+    def _children(
+        self, counts: dict[int, int], lengths: list[int], limit: int, tries: int, banned: frozenset, waste: int
+    ) -> tuple[list[tuple[int, tuple[int, ...], int, frozenset]], bool]:
+        """What may come next, best last: bins, filling, deviations left after it and fillings that were dealt with; and whether that is all.
 
-        One filling dominates another if the other's lengths fit into its
-        own as bins: an exact single length beats all, and among fillings of
-        equal waste the one with fewer, larger lengths is kept.
+        A filling in ``banned`` has had its number of bins fixed, or all of
+        them tried, since the largest length last changed.
+        """
+        found, complete = self._fillings(counts, lengths, tries, self._spare() - waste, limit, limit + len(banned))
+        if complete and len(found) == 1:  # beats all others in every bin
+            filling = found[0]
+            return [(min(counts[n] // filling.count(n) for n in set(filling)), filling, limit, banned)] * (filling not in banned), True
+        children = []
+        for rank, filling in enumerate(f for f in found if f not in banned):
+            if rank > limit:
+                complete = False
+                break
+            banned = banned | {filling}
+            most = min(counts[n] // filling.count(n) for n in set(filling))
+            if rank + most - 1 > limit:
+                complete = False
+            for place, bins in enumerate(_multiples(most, limit - rank + 1)):
+                children.append((bins, filling, limit - rank - place, banned))
+        return children[::-1], complete
+
+    def _fillings(self, counts: dict[int, int], lengths: list[int], tries: int, spare: int, limit: int, wanted: int) -> tuple[list[tuple[int, ...]], bool]:
+        """Undominated fillings around the largest length, least waste first, and whether these are all.
+
+        One filling dominates another if the other's lengths fit into its own
+        as bins: an exact single length beats all, and one that leaves room
+        for a further length is beaten by that with it.  Fillings that waste
+        more than ``spare`` cannot lead to a better packing.  Not more than
+        ``wanted`` + 1 are returned.
         """
         largest = lengths[-1]
         room = self.capacity - largest
-        found: dict[int, tuple[int, ...]] = {}  # waste -> filling
-        tries = self.steps
-        have = dict.fromkeys([largest], counts[largest] - 1)
-
-        def extend(left: int, most: int, chosen: tuple[int, ...]) -> bool:
-            nonlocal tries
-            at = bisect_right(lengths, min(left, most)) - 1
-            fitted = False
+        have = {largest: counts[largest] - 1}
+        if room == 0 or have.get(room, counts.get(room, 0)) > 0:
+            return [(largest, room) if room else (largest,)], True
+        found: list[tuple[int, tuple[int, ...]]] = []
+        asked, complete = tries, True
+
+        def left_of(n: int) -> int:
+            return have.get(n, counts[n])
+
+        def extend(left: int, below: int, chosen: tuple[int, ...]) -> bool:
+            """Add lengths before place ``below``; False to stop."""
+            nonlocal tries, complete
+            at = min(below, bisect_right(lengths, left)) - 1
             while at >= 0:
                 n = lengths[at]
+                most = min(left_of(n), left // n)
+                for k in range(most, 0, -1):
+                    if tries <= 0:
+                        complete = False
+                        return False
+                    tries -= 1
+                    have[n] = left_of(n) - k
+                    go_on = extend(left - k * n, at, chosen + (n,) * k)
+                    have[n] += k
+                    if not go_on:
+                        return False
                 at -= 1
-                if have.get(n, counts[n]) < 1:
-                    continue
-                fitted = True
-                tries -= 1
-                if n == left:
-                    found.setdefault(0, chosen + (n,))
+            if left <= spare and next((n for n in lengths if n > left or left_of(n)), left + 1) > left:
+                found.append((left, chosen))
+                if not left and not limit:  # only the first is asked for
+                    complete = False
+                    return False
+            return True
+
+        extend(room, len(lengths), (largest,))
+        self.left -= (asked - tries) // self.steps  # a long list counts as several nodes
+        kept: list[tuple[int, ...]] = []
+        for _, filling in sorted(found, key=lambda x: (x[0], len(x[1]))):
+            if len(kept) > wanted:
+                return kept, False
+            if not any(_dominates(f, filling) for f in kept):
+                kept.append(filling)
+        return kept, complete
+
+
+def _multiples(most: int, n: int) -> list[int]:
+    """The first ``n`` numbers of bins to try out of 1 to ``most``: all, one less, half, one, then the others."""
+    first = dict.fromkeys([most, max(1, most - 1), max(1, most // 2), 1])
+    return list(first | dict.fromkeys(range(most, max(0, most - n - 4), -1)))[:n]
+
+
+def _dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the lengths of ``other`` fit into those of ``one`` as bins; equal lengths may be set against each other.  Not looked for beyond 8 lengths."""
+    if len(one) >= len(other) and all(a >= b for a, b in zip(one, other)):
+        return True
+    bins, items = Counter(one), Counter(other)
+    rooms, rest = sorted((bins - items).elements()), sorted((items - bins).elements(), reverse=True)
+    if sum(rest) > sum(rooms) or len(rest) > 8 or rest and rest[0] > rooms[-1]:
+        return False
+
+    def fits(i: int) -> bool:
+        if i == len(rest):
+            return True
+        for j, r in enumerate(rooms):
+            if r >= rest[i] and r not in rooms[:j]:
+                rooms[j] -= rest[i]
+                if fits(i + 1):
                     return True
-                have[n] = have.get(n, counts[n]) - 1
-                done = extend(left - n, n, chosen + (n,))
-                have[n] += 1
-                if done or tries <= 0:
-                    return done
-            if not fitted:
-                found.setdefault(left, chosen)
-            return False
-
-        extend(room, room, (largest,))
-        if room == 0:
-            found = {0: (largest,)}
-        return [found[w] for w in sorted(found)[: self.branches]] or [(largest,)]
+                rooms[j] += rest[i]
+        return False
+
+    return fits(0)
 
 
 def plan_runs(plan: list[Filling]) -> dict[str, np.ndarray]:

@@ -143,6 +143,24 @@ def test_bin_completion_is_optimal_on_small_cases_and_never_worse_than_best_fit(
     assert BinCompletion(many, 4096).solve() and sum(n for n, _ in BinCompletion(many, 4096).solve()) < sum(n for n, _ in best_fit_decreasing(many, 4096))
 
 
+def test_bin_completion_finds_the_fewest_bins_with_its_defaults():
+    """Among them a case in which the first perfect filling, and any filling alone of its waste, lead astray."""
+    from logstrata.llm.packing import BinCompletion
+
+    cases = [[2049, 1638] + [1229] * 6 + [818, 409]]
+    r = random.Random(7)
+    for _ in range(150):
+        near = [round(4096 * x) + r.randint(-2, 2) for x in (0.5, 0.4, 0.3, 0.2, 0.1, 0.25, 0.35, 0.45, 0.15)]
+        cases.append([r.choice(near) for _ in range(r.randint(6, 12))])
+    for lengths in cases:
+        search = BinCompletion(dict(Counter(lengths)), 4096)
+        plan = search.solve()
+        assert Counter(n for bins, filling in plan for n in filling * bins) == Counter(lengths)
+        assert search.proved and sum(n for n, _ in plan) == fewest_bins(lengths, 4096)
+    ones = {1: 9000, 1365: 3, 1366: 3, 1367: 3}  # thousands of pieces in a bin
+    assert sum(n for n, _ in BinCompletion(ones, 4096).solve()) == -(-(9000 + 3 * 4098) // 4096)
+
+
 def test_ranks_of_a_length_in_salted_groups(spark):
     """A length that a third of all rows have, in many groups: places stay distinct."""
     from logstrata.llm import packing
