@@ -44,8 +44,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites leave the texts."""
-    return _with_text(dedup_lines(docs), F.col("text"), docs.columns)
+    """Lines that stand on many sites leave the texts, short pages too; whole copies are left to the next stage."""
+    return _with_text(dedup_lines(docs, thin=True), F.col("text"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

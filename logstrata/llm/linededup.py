@@ -4,8 +4,9 @@ One HyperLogLog sketch of sites is kept per line hash and merged by
 aggregation.  Lines whose estimate is clear of the threshold are decided by
 it; the others get an exact count of distinct sites.  Lines spread over
 enough sites are boilerplate and leave every document, except documents that
-consist of such lines for the greater part: those are copies, which is
-another operator's business.
+consist of such lines for the greater part.  These are copies or pages with
+little text of their own; on request the latter lose their boilerplate too,
+told by whether a line also spreads as the lesser part of documents.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def boilerplate_lines(docs: DataFrame, text_col: str = "text", site_col: str = "
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, thin: bool = False
 ) -> DataFrame:
     """All columns of ``docs``, the text without boilerplate lines, and n_lines and n_removed (long).
 
@@ -64,6 +65,11 @@ def dedup_lines(
     replaced.  A document whose boilerplate lines hold more than half of the
     characters of its trimmed lines keeps its text.  Null text stays null with
     no lines; empty text is one blank line.  Rows are neither dropped nor merged.
+
+    With ``thin`` such a document loses boilerplate too: the lines that stand,
+    on ``min_sites`` or on most of their sites, in documents of which
+    boilerplate is the lesser part.  Lines that spread with whole copies alone stay, and so does a text
+    that would have nothing left.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed") and not c.startswith("__")]
     # A collision of row keys only unites two rows' sets of lines that are boilerplate anyway.
@@ -72,22 +78,45 @@ def dedup_lines(
     line = line.where("line <> ''").select("__row", _key(F.col("line")).alias("key"))
     spread = boilerplate_lines(docs, text_col, site_col, min_sites)
     common = line.join(spread, "key").groupBy("__row").agg(F.collect_set("key").alias("__common"))
+    if thin:
+        common = _not_copied(docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row"), text_col, site_col), text_col, site_col, spread, min_sites)
     rows = rows.join(common, "__row", "left").withColumn("__lines", _lines(text_col))
 
     def is_common(x: F.Column) -> F.Column:
         return F.coalesce(F.array_contains("__common", _key(_bare(x))), F.lit(False)) & (_bare(x) != "")
 
-    def chars(lines: F.Column) -> F.Column:
-        return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
+    def chars_left(found: F.Column, whole: F.Column) -> F.Column:
+        return found < whole if thin else found * 2 <= whole
 
     rows = rows.withColumn("__found", F.when(F.col("__common").isNotNull(), F.filter("__lines", is_common)))
-    rows = rows.withColumn("__cut", F.coalesce(chars(F.col("__found")) * 2 <= chars(F.col("__lines")), F.lit(False)))
+    rows = rows.withColumn("__cut", F.coalesce(chars_left(_chars(F.col("__found")), _chars(F.col("__lines"))), F.lit(False)))
     text = F.when(F.col("__cut"), F.array_join(F.filter("__lines", lambda x: ~is_common(x)), "\n")).otherwise(F.col(text_col))
     n_removed = F.when(F.col("__cut"), F.size("__found")).otherwise(0).cast("long")
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("__lines")).cast("long")
     return rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in kept], n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
+def _chars(lines: F.Column) -> F.Column:
+    return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
+
+
+def _not_copied(rows: DataFrame, text_col: str, site_col: str, spread: DataFrame, min_sites: int) -> DataFrame:
+    """For each __row the keys (__common) of its ``spread`` lines; where these are the greater part, of those that are boilerplate elsewhere."""
+    line = rows.select("__row", F.explode(_lines(text_col)).alias("line")).select("__row", _bare(F.col("line")).alias("line"))
+    line = line.where("line <> ''").select("__row", _key(F.col("line")).alias("key"), F.length("line").alias("n"))
+    part = line.join(spread, "key").groupBy("__row").agg(F.collect_set("key").alias("__common"), F.sum("n").alias("n"))
+    # Rows that repeat an id and text are summed on both sides.
+    whole = rows.groupBy("__row").agg(F.sum(_chars(_lines(text_col))).alias("whole"))
+    part = part.join(whole, "__row").select("__row", "__common", (F.col("n") * 2 <= F.col("whole")).alias("lesser"))
+    part = written(part, "line-shares")
+    stands = part.select("__row", F.explode("__common").alias("key"), F.col("lesser").cast("int").alias("lesser"))
+    stands = stands.join(rows.select("__row", F.col(site_col).cast("string").alias("site")), "__row").where("site IS NOT NULL")
+    sites = stands.groupBy("key", "site").agg(F.max("lesser").alias("lesser")).groupBy("key").agg(F.sum("lesser").alias("lesser"), F.count("*").alias("all"))
+    sure = written(sites.where((F.col("lesser") >= min_sites) | (F.col("lesser") * 2 > F.col("all"))).select("key"), "sure-boilerplate")
+    thin = part.where("NOT lesser").select("__row", F.explode("__common").alias("key")).join(sure, "key")
+    return part.where("lesser").select("__row", "__common").union(thin.groupBy("__row").agg(F.collect_set("key").alias("__common")))
+
+
 def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))

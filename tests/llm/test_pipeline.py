@@ -106,6 +106,24 @@ def test_run_matches_brute_force(spark, scratch):
     assert max(bins.values()) <= 4096 and len(bins) == -(-sum(bins.values()) // 4096)
 
 
+def test_short_pages_lose_boilerplate_and_copies_stay(spark):
+    licence, body = "This work is licensed under the GNU General Public License", [prose(500 + i, 30) for i in range(4)]
+    rows = [(i, f"{prose(i, 40)}\n{licence}", "xx", f"site{i % 12}", 0) for i in range(24)]
+    rows += [(100, f"ba ke lo.\n{licence}", "xx", "site3", 0), (100, f"ba ke lo.\n{licence}", "xx", "site3", 0), (101, f" {licence}\n", "xx", "site4", 0)]
+    rows += [(200 + i, "\n".join([*body, prose(600 + i, 8), licence]), "xx", f"site{i}", 0) for i in range(10)]
+    rows += [(300 + i, "\n".join(body), "xx", f"site{i}", 0) for i in range(2)]
+    rare = "Accept all cookies or read our policy"  # on eight sites, one of them with a short page only
+    rows = [(i, f"{t}\n{rare}" if i < 7 else t, *rest) for i, t, *rest in rows] + [(400, f"ti vo\n{rare}", "xx", "site7", 0)]
+    got = defaultdict(list)
+    for r in stage(spark, 1, rows).collect():
+        got[r["doc_id"]].append((r["text"], r["n_chars"]))
+    assert got[5] == [(prose(5, 40), len(prose(5, 40)))]
+    assert got[100] == [("ba ke lo.", 9)] * 2 and got[400] == [("ti vo", 5)] and got[101][0][0] == f" {licence}\n"  # nothing else in it
+    for i in range(10):  # near copies on ten sites: one of them must outlive the next stage with its text
+        assert got[200 + i][0][0] == "\n".join([*body, prose(600 + i, 8)])
+    assert got[300][0][0] == got[301][0][0] == "\n".join(body)
+
+
 def test_registered_queries():
     import __spark_entry__
 
