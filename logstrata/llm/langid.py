@@ -70,6 +70,18 @@ class ContextTrees:
         return np.concatenate([np.full(DEPTH, self._space), self.classes[np.frombuffer(text, np.uint8)]]).astype(np.int64)
 
 
+    def own_rates(self) -> dict[str, tuple[int, float]]:
+        """Of each language the bytes it was learned from and the bits a byte that these cost in its own tree."""
+        out = {}
+        for language, orders in zip(self.languages, self._counted):
+            keys, seen = orders[DEPTH]
+            total, distinct = _context_sums(keys, seen, SYMBOLS**DEPTH)
+            bits = seen @ (np.log2(np.maximum(1, total + distinct))[keys // SYMBOLS] - np.log2(seen))
+            bits += self.rare_bits * seen[keys % SYMBOLS == SYMBOLS - 1].sum()
+            out[language] = int(seen.sum()), float(bits / max(1, seen.sum()))
+        return out
+
+
 def _keys(symbols: np.ndarray, depth: int) -> np.ndarray:
     """For each byte after the first ``DEPTH`` symbols: its context of ``depth`` symbols and itself as one number."""
     n = max(0, len(symbols) - DEPTH)

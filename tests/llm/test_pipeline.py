@@ -40,6 +40,20 @@ def test_language_id_rejects_what_is_no_language_and_keeps_the_rest(spark, odd_r
     assert corpus_pipeline.language_id(spark, docs, "").count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
 
 
+def test_language_id_rejects_an_unlearned_language_and_keeps_short_prose_with_a_key(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    unlearned = docs.where("lang = 'en' AND octet_length(text) >= 1500").select((F.col("doc_id") + 10**9).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"))
+    others = docs.where("lang <> 'en'")
+    key = "".join(chr(33 + (7 * i * i + i) % 90) for i in range(60))
+    planted = [(2 * 10**9, "kq#7 zx!" + "Zq9#x@Kv7$w" * 200, None)]
+    short = others.where("octet_length(text) BETWEEN 60 AND 400").select((F.col("doc_id") + 3 * 10**9).alias("doc_id"), F.concat("text", F.lit(" " + key)).alias("text"), "lang")
+    rows = others.union(unlearned).union(short).union(spark.createDataFrame(planted, docs.schema))
+    kept = {r[0] for r in corpus_pipeline.language_id(spark, rows, "").select("doc_id").collect()}
+    assert unlearned.count() > 50 and short.count() > 5 and not any(10**9 <= i < 3 * 10**9 for i in kept)
+    assert {r[0] for r in short.collect()} <= kept
+    assert {r[0] for r in others.where(F.col("text").rlike(r"\p{L}")).collect()} <= kept
+
+
 def test_one_document_of_each_group_stays(spark, odd_rows):
     want = brute_groups(odd_rows)
     kept = Counter(r["doc_id"] for r in stage(spark, 2, odd_rows).collect())
