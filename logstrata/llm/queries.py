@@ -12,6 +12,7 @@ from logstrata.llm.forest import op8_projection_forest
 from logstrata.llm.jaccard import OP4_SQL, op4_segment_jaccard
 from logstrata.llm.langid import op7_ppm_language
 from logstrata.llm.linededup import OP6_SQL, op6_line_spread
+from logstrata.llm.middle import OP13_SQL, op13_chunk_middle
 from logstrata.llm.packing import op9_bin_completion
 from logstrata.llm.sharding import op10_external_shuffle
 from logstrata.llm.substring import OP2_SQL, op2_window_repeats
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_projection_forest": op8_projection_forest,
     "op9_bin_completion": op9_bin_completion,
     "op10_external_shuffle": op10_external_shuffle,
+    "op13_chunk_middle": op13_chunk_middle,
 }
 
 #: DuckDB SQL with the same columns and rows, where SQL can express the operator.
@@ -36,4 +38,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_window_repeats": OP2_SQL,
     "op4_segment_jaccard": OP4_SQL,
     "op6_line_spread": OP6_SQL,
+    "op13_chunk_middle": OP13_SQL,
 }
