@@ -12,6 +12,7 @@ from logstrata.llm.forest import op8_projection_forest
 from logstrata.llm.jaccard import OP4_SQL, op4_segment_jaccard
 from logstrata.llm.langid import op7_ppm_language
 from logstrata.llm.linededup import OP6_SQL, op6_line_spread
+from logstrata.llm.lm import op11_elias_fano_lm
 from logstrata.llm.middle import OP13_SQL, op13_chunk_middle
 from logstrata.llm.packing import op9_bin_completion
 from logstrata.llm.sharding import op10_external_shuffle
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_projection_forest": op8_projection_forest,
     "op9_bin_completion": op9_bin_completion,
     "op10_external_shuffle": op10_external_shuffle,
+    "op11_elias_fano_lm": op11_elias_fano_lm,
     "op13_chunk_middle": op13_chunk_middle,
 }
 
