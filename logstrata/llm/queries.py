@@ -15,6 +15,7 @@ from logstrata.llm.linededup import OP6_SQL, op6_line_spread
 from logstrata.llm.lm import op11_elias_fano_lm
 from logstrata.llm.middle import OP13_SQL, op13_chunk_middle
 from logstrata.llm.packing import op9_bin_completion
+from logstrata.llm.phrases import OP12_SQL, op12_dynamic_counting
 from logstrata.llm.sharding import op10_external_shuffle
 from logstrata.llm.substring import OP2_SQL, op2_window_repeats
 from logstrata.llm.tokenfile import op5_token_files
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bin_completion": op9_bin_completion,
     "op10_external_shuffle": op10_external_shuffle,
     "op11_elias_fano_lm": op11_elias_fano_lm,
+    "op12_dynamic_counting": op12_dynamic_counting,
     "op13_chunk_middle": op13_chunk_middle,
 }
 
@@ -40,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_window_repeats": OP2_SQL,
     "op4_segment_jaccard": OP4_SQL,
     "op6_line_spread": OP6_SQL,
+    "op12_dynamic_counting": OP12_SQL,
     "op13_chunk_middle": OP13_SQL,
 }
