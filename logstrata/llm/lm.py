@@ -100,7 +100,7 @@ class _Chunk:
         ends = begins + self.lengths + 1
         word = ~self.is_begin
         word[ends] = False
-        self.tokens = np.empty(len(word), np.int64)
+        self.tokens = np.empty(len(word), np.int32)
         self.tokens[begins], self.tokens[ends], self.tokens[word] = row["begin"], row["end"], unpack(row["tokens"], np.uint32)
         ranks = [(b, unpack(r, np.uint32).astype(np.int64)) for b, r in zip(self._answers["word"]["bucket"], self._answers["word"]["b"])]
         numbers = np.concatenate([np.where(r > 0, (r - 1) * buckets + b, -1) for b, r in ranks])
@@ -127,7 +127,7 @@ class _Chunk:
     def find_triples(self) -> None:
         """Distinct triples both of whose pairs are kept, in the order of their first pair, and where they end."""
         ranks = self.said("pair", "a", np.uint32).astype(np.int64) - 1
-        kept = np.full(len(self.tokens), -1, np.int64)
+        kept = np.full(len(self.tokens), -1, np.int32)
         kept[self.at] = np.where(ranks[self.pair_at] >= 0, self.pair_at, -1)
         self.triple_ends = np.flatnonzero((kept[1:] >= 0) & (kept[:-1] >= 0)) + 1
         codes, self.triple_at = np.unique(kept[self.triple_ends - 1].astype(np.uint64) << _HALF | self._number[self.triple_ends].astype(np.uint64), return_inverse=True)
@@ -309,24 +309,25 @@ def score_texts(
         own = _Chunk(chunk, answers, buckets)
         own.find_pairs()
         own.find_triples()
-        counts = own.said("word", "a", np.uint64)[own.tokens].astype(np.float64)
-        size = len(own.tokens)
-        left2 = restored(own.said("left", "a", np.uint16))[own.tokens]
-        share2, left3 = np.zeros(len(own.keys)), np.ones(len(own.keys))
-        share2[own.kept], left3[own.kept] = restored(own.said("share", "a", np.uint16)), restored(own.said("share", "b", np.uint16))
-        share3 = restored(own.said("share", "c", np.uint16))
-        p2, p3, l3 = np.zeros(size), np.zeros(size), np.ones(size)
-        p2[own.at], l3[own.at] = share2[own.pair_at], left3[own.pair_at]
-        p3[own.triple_ends] = share3[own.triple_at]
-        base = np.log10(counts + 1) - rest
-        p = np.power(10.0, base)
-        p[1:] = p2[1:] + left2[:-1] * p[1:]
-        p[1:] = p3[1:] + np.where(own.is_begin[:-1], 1.0, l3[:-1]) * p[1:]
-        logs = np.log10(p)
-        logs[own.is_begin], base[own.is_begin], counts[own.is_begin] = 0, 0, 0
-        sums = [np.add.reduceat(x, own.begins) for x in (counts > 0, base, logs)]
+        counts = own.said("word", "a", np.uint64)
+        base = np.log10(counts + 1.0) - rest
+        known = np.add.reduceat((counts > 0)[own.tokens] & ~own.is_begin, own.begins, dtype=np.int64)
+        p = base[own.tokens]
+        p[own.is_begin] = 0
+        base_sums = np.add.reduceat(p, own.begins)
+        # In place, as a chunk holds millions of tokens: word, then pair, then triple.
+        np.power(10.0, p, out=p)
+        p[1:] *= restored(own.said("left", "a", np.uint16))[own.tokens[:-1]]
+        share, left = np.zeros(len(own.keys)), np.ones(len(own.keys))
+        share[own.kept], left[own.kept] = restored(own.said("share", "a", np.uint16)), restored(own.said("share", "b", np.uint16))
+        p[own.at] += share[own.pair_at]
+        later = own.at + 1 < len(p)
+        p[own.at[later] + 1] *= left[own.pair_at[later]]
+        p[own.triple_ends] += restored(own.said("share", "c", np.uint16))[own.triple_at]
+        p[own.is_begin] = 1
+        sums = np.add.reduceat(np.log10(p, out=p), own.begins)
         learned = np.frombuffer(chunk.column("learn")[0].as_py(), np.uint8).astype(bool)
-        made = [chunk.column("ids").combine_chunks().flatten(), learned, own.lengths + 1, sums[0].astype(np.int64), sums[1], sums[2]]
+        made = [chunk.column("ids").combine_chunks().flatten(), learned, own.lengths + 1, known, base_sums, sums]
         return pa.table([pa.array(c, f.type) if not isinstance(c, pa.Array) else c.cast(f.type) for c, f in zip(made, result_schema)], schema=result_schema)
 
     everything = word_answers.union(pair_answers).union(left.where("kind = 'left'")).union(shares)

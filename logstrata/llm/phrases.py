@@ -162,7 +162,7 @@ class _Chunk:
         numbers = np.where(places > 0, (places.astype(np.int64) - 1) * buckets + owners, -1)
         if numbers.max(initial=0) >= 1 << 32:
             raise OverflowError("more than 2^32 frequent words; count with a larger ``least``")
-        numbers, since = np.append(numbers, -1), np.append(since, 0)
+        numbers, since = np.append(numbers, -1), np.append(since, np.uint16(0))
         at = np.where(self.tokens == _BREAK, len(numbers) - 1, self.tokens)
         self.words, self._since = numbers[at], since[at]
 
@@ -174,7 +174,7 @@ class _Chunk:
         owner = np.repeat(np.array(own.column("bucket").to_pylist(), np.int64), [len(p) for p in places])
         places, since = (np.concatenate(a) if a else np.zeros(0, np.uint16) for a in (places, since))
         known = (since > 0) & (since <= self._scan)
-        return owner, np.where(known, places, 0), np.where(known, since, 0).astype(np.int64)
+        return owner, np.where(known, places, 0), np.where(known, since, 0).astype(np.uint16)
 
     def find_pairs(self, shards: int) -> np.ndarray:
         """Distinct active pairs in the order of their buckets; returns how often each counts in this scan."""
@@ -191,7 +191,7 @@ class _Chunk:
     def triples(self, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Active triples and their counts in this scan, by bucket of their first pair."""
         _, places, since = self._said("pair")
-        pair = np.full(len(self.tokens), -1, np.int64)
+        pair = np.full(len(self.tokens), -1, np.int32)
         pair[self.at] = np.where(places[self.pair_at] > 0, self.pair_at, -1)
         at = np.flatnonzero((pair[1:] >= 0) & (pair[:-1] >= 0))
         at = at[np.maximum(since[pair[at]], since[pair[at + 1]]) > self._scan - shards]
