@@ -420,11 +420,22 @@ def collocations(
     return found
 
 
+def best(found: DataFrame, first: int = FIRST, parts: int = 64) -> DataFrame:
+    """The ``first`` phrases of each language with their rank, by score, a and phrase.
+
+    Ranked within ``parts`` parts of a language first, so one task gets at most
+    ``parts`` times ``first`` rows of it.
+    """
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+    for keys in (["lang", part], ["lang"]):
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")).where(F.col("rank") <= first)
+    return found
+
+
 def op12_dynamic_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = collocations(table(spark, sf_dir, "documents"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= FIRST)
-    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    found = best(collocations(table(spark, sf_dir, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 OP12_SQL = f"""

@@ -84,6 +84,16 @@ def test_odd_rows_and_empty_table(odd, odd_rows, none):
     assert found(none) == {}
 
 
+def test_ranks_do_not_depend_on_parts(spark):
+    rows = [("x", f"p{i}", i % 7, i % 3) for i in range(500)] + [("y", "q", 1, 1)]
+    df = spark.createDataFrame(rows, "lang string, phrase string, score long, a long")
+    expected = sorted(rows[:500], key=lambda r: (-r[2], -r[3], r[1]))[:60]
+    for parts in (1, 5, 64):
+        found = phrases.best(df, 60, parts).collect()
+        assert sorted((r.rank, r.phrase) for r in found if r.lang == "x") == [(i + 1, r[1]) for i, r in enumerate(expected)]
+        assert [(r.rank, r.phrase) for r in found if r.lang == "y"] == [(1, "q")]
+
+
 def test_registered_query_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
