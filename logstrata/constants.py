@@ -22,11 +22,18 @@ BYTES_PATTERN = r"\s(\d+)$"
 #  * the trailing size is found by backtracking from the end of the line
 #    instead of trying every whitespace from the start.  DOTALL lets ``.``
 #    cross any line terminator, so the only possible match is the same one.
-#  * the request and the timestamp are looked for once in each run of
-#    non-blank characters and once in each stretch without a line terminator,
-#    from its first quote or bracket: if that one cannot match, no later one
-#    in the same stretch can.  Possessive quantifiers never give back, so the
-#    time is linear in the line, however many quotes or brackets it holds.
+#  * an ordinary line holds few quotes and brackets.  From each quote the short
+#    request pattern reads the line at most twice, from each bracket the fixed
+#    timestamp pattern reads it once, so up to FEW_MARKS of them (or a line of
+#    at most SHORT_LINE bytes) take time linear in the line;
+#  * in longer lines with more, the request and the timestamp are looked for once in
+#    each run of non-blank characters and once in each stretch without a line
+#    terminator, from its first quote or bracket: if that one cannot match, no
+#    later one in the same stretch can.  Possessive quantifiers never give
+#    back, so the time is linear in the line, however many marks it holds.
+FEW_MARKS = 8
+SHORT_LINE = 256
+REQUEST_SHORT_PATTERN = r"\"\S++\s(?:\S++\s++\S*\"|\S+\")"
 REQUEST_TOKEN_PATTERN = r"(?:^|(?<=\s))[^\s\"]*+(\"\S++\s(?:\S++\s++\S*\"|\S+\"))"
 _LINE_ENDS = r"\n\r\u0085\u2028\u2029"
 TIMESTAMP_FIRST_PATTERN = rf"(?:^|(?<=[{_LINE_ENDS}]))[^\[{_LINE_ENDS}]*+\[([^\]{_LINE_ENDS}]*+)\]"

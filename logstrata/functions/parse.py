@@ -32,9 +32,17 @@ def ip(line: Column | str = "value") -> Column:
     return F.regexp_extract(_c(line), C.IP_PATTERN, 1)
 
 
+def _few(line: Column, mark: str) -> Column:
+    """Whether the line is short or holds at most ``FEW_MARKS`` of ``mark``; the search ends at the first too many."""
+    size = F.octet_length(line)
+    return (size <= C.SHORT_LINE) | (F.octet_length(F.substring_index(line, mark, C.FEW_MARKS + 1)) == size)
+
+
 def raw_timestamp(line: Column | str = "value") -> Column:
     """Text inside the first ``[...]`` pair, unparsed."""
-    return F.regexp_extract(_c(line), C.TIMESTAMP_FIRST_PATTERN, 1)
+    line = _c(line)
+    fixed, linear = F.regexp_extract(line, C.TIMESTAMP_PATTERN, 1), F.regexp_extract(line, C.TIMESTAMP_FIRST_PATTERN, 1)
+    return F.when(_few(line, "["), fixed).otherwise(linear)
 
 
 def status(line: Column | str = "value") -> Column:
@@ -44,7 +52,9 @@ def status(line: Column | str = "value") -> Column:
 
 def request(line: Column | str = "value") -> Column:
     """The first ``"METHOD URI [PROTOCOL]"`` match, quotes included, or ``''``."""
-    return F.regexp_extract(_c(line), C.REQUEST_TOKEN_PATTERN, 1)
+    line = _c(line)
+    short, linear = F.regexp_extract(line, C.REQUEST_SHORT_PATTERN, 0), F.regexp_extract(line, C.REQUEST_TOKEN_PATTERN, 1)
+    return F.when(_few(line, '"'), short).otherwise(linear)
 
 
 def request_part(request_token: Column | str, group: int) -> Column:

@@ -67,6 +67,15 @@ def test_edge_cases(spark):
 HARD = ['"' * 40, "[" * 40, '"a' * 20, '"a ' * 20, "[a" * 20, '"a b' * 15, '""" "" """ "', '[\u2028[x]', "[a\n[b]", "]][[]]", '"GET /' + "a" * 60, '" " "', '"a b"c" d"e', 'x"a b  c"d" e"']
 
 
+def test_both_sides_of_the_switch(spark):
+    """Lines with as many quotes or brackets as the short patterns take, one less and one more, short and long."""
+    n = C.FEW_MARKS
+    ends = ['"GET /a HTTP/1.1"', '"GET /a"b c"', "[x]", '"a  b"', "[[y] z]", ' "a b" [c]']
+    lines = [head * k + gap + end for head in ('"', "[", '"x', '"x ', "[x ", "[\n") for k in (n - 3, n - 2, n - 1, n, n + 1) for gap in ("", " ", "p" * C.SHORT_LINE, " q" * C.SHORT_LINE) for end in ends]
+    df = lines_frame(spark, lines)
+    assert [tuple(r) for r in bronze_to_silver(df).collect()] == [tuple(r) for r in literal_silver(df).collect()]
+
+
 def test_long_runs_of_quotes_and_brackets(spark):
     df = lines_frame(spark, HARD + [a + b for a in HARD for b in HARD])
     assert [tuple(r) for r in bronze_to_silver(df).collect()] == [tuple(r) for r in literal_silver(df).collect()]
@@ -85,6 +94,7 @@ def test_unterminated_lines_take_linear_time(spark):
     n = 16_384
     kinds = ['h - - [x] "GET /' + "a" * n, "h " + "[" * n, "h " + '"' * n, "h " + '"a ' * (n // 3), "h " + '"a b' * (n // 4), "h " + "[a" * (n // 2), "h " + " 1" * (n // 2) + "x"]
     bronze_to_silver(lines_frame(spark, kinds)).collect()
+    kinds += [(kind[: C.SHORT_LINE - 8] + " ") for kind in kinds]
     for line in kinds:
         df = bronze_to_silver(lines_frame(spark, [line] * 40).coalesce(1))
         start = time.perf_counter()
