@@ -96,5 +96,9 @@ TOP_ENDPOINTS_K = 6
 # Name of the view that ad-hoc SQL over a stored table sees.
 SQL_VIEW_NAME = "logs_temp"
 
+# Texts of the layer messages (Python format fields), beside the row count.
+SILVER_MESSAGE = "Without request: {no_request}, without size: {no_size}"
+GOLD_MESSAGE = "Without date: {no_date}"
+
 # FIXED VALUES: text of the response-size step message (Python format fields).
 RESPONSE_SIZE_MESSAGE = "Total: {total}, Máximo: {maximum}, Mínimo: {minimum}, Médio: {mean}"

@@ -134,6 +134,8 @@ def _audit_counts() -> str:
     """Expected record counts of the step log, computed from the data."""
     return (
         "SELECT count(*) AS n_lines, "
+        "'Without request: ' || count(*) FILTER (\"Method\" = '' AND \"URI\" = '') || ', without size: ' || count(*) FILTER (\"Bytes\" IS NULL) AS silver_message, "
+        "'Without date: ' || count(*) FILTER (\"Date\" IS NULL) AS gold_message, "
         f"CAST(least({C.TOP_IPS_K}, count(DISTINCT \"IP\")) AS BIGINT) AS n_top_ips, "
         f"CAST(least({C.TOP_ENDPOINTS_K}, count(DISTINCT CASE WHEN \"Endpoint\" <> '' THEN \"Endpoint\" END)) AS BIGINT) AS n_top_endpoints, "
         f"{_distinct_with_null('IP')} AS n_ips, "
@@ -148,8 +150,8 @@ def _audit_counts() -> str:
 # (step, count column of the Sucesso row or None, message column of the Sucesso row or None)
 _STEPS = [
     (C.STEP_READ, "n_lines", None),
-    (C.STEP_SILVER, None, None),
-    (C.STEP_GOLD, None, None),
+    (C.STEP_SILVER, "n_lines", "silver_message"),
+    (C.STEP_GOLD, "n_lines", "gold_message"),
     (C.STEP_SAVE, None, None),
     (C.STEP_TRIGGER, None, None),
     (C.STEP_TABLE, "n_lines", None),

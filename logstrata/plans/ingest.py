@@ -10,11 +10,10 @@ that Parquet (columnar, already parsed), never a second parse of the text.
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +22,9 @@ from logstrata import constants as C
 from logstrata.operators.layers import bronze_to_silver, silver_to_gold
 from logstrata.plans.audit import StepLog
 from logstrata.schemas import GOLD_COLUMNS, GOLD_SCHEMA
-from logstrata.session import delete_folder, list_folder
-from logstrata.sinks.files import publish_manifest, publish_parquet
-from logstrata.sinks.tables import publish_table, register_table
+from logstrata.sinks.files import arranged, publish_manifest, write_files
+from logstrata.sinks.tables import point_table, publish_table
+from logstrata.sinks.versions import Versions
 from logstrata.sources.text import read_logs
 
 
@@ -36,6 +35,17 @@ class IngestResult:
     manifest_path: str
     table_name: str
     table_path: str
+    counts: dict[str, int] = field(default_factory=dict)  # of lines, and of lines without a request, size or date
+
+
+def observed_layers(gold: DataFrame, write) -> dict[str, int]:
+    """Run ``write`` and return what each layer counts on the way: rows, and rows without a request, a size or a date."""
+    obs = Observation(f"layers_{uuid.uuid4().hex[:8]}")
+    write(gold.observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.count_if((F.col("Method") == "") & (F.col("URI") == "")).alias("no_request"),
+        F.count_if(F.col("Bytes").isNull()).alias("no_size"), F.count_if(F.col("Date").isNull()).alias("no_date"),
+    ))
+    return {name: int(value) for name, value in obs.get.items()}
 
 
 def observed_write(df: DataFrame, write) -> int:
@@ -67,56 +77,65 @@ def run_ingest(
     partition_by: Sequence[str] | None = None,
     max_records_per_file: int | None = None,
     split_bytes: int | None = None,
+    sort_by: Sequence[str] | None = None,
+    skip_by: dict[str, int] | None = None,
 ) -> IngestResult:
     """Text ``source`` to Gold files, table and manifest.
 
-    Every run writes a folder of its own under ``gold_path``; table and
-    manifest move to it once it is complete, so readers keep the previous
-    data during the run and after a failed one.  The folders before the
-    previous one are removed.  ``split_bytes`` sets the size of the input
-    splits, and so of the output files, for this run (the session's setting
-    if not given); ``max_records_per_file`` bounds a file's rows.
+    Every run writes a version of its own under ``gold_path``
+    (``load_gold(path=gold_path)`` reads the newest complete one); table and
+    then manifest move to it once it is complete, so readers keep the previous
+    data during the run and after a failed one.  A run that ends after a newer
+    one does not replace it.  All but the last two versions are removed.
+    ``split_bytes`` sets the size of the input splits, and so of the output
+    files, for this run (the session's setting if not given);
+    ``max_records_per_file`` bounds a file's rows; ``sort_by`` and ``skip_by``
+    as in :func:`~logstrata.sinks.files.publish_parquet`.
     """
     log = log if log is not None else StepLog()
-    versions = gold_path.rstrip("/")
-    gold_path = f"{versions}/run-{time.time_ns():020d}"
+    versions = Versions(spark, gold_path)
+    single = {"single_file": single_file, "partition_by": partition_by, "sort_by": sort_by}
+    counts: dict[str, int] = {}
 
     def write(df: DataFrame) -> None:
-        publish_parquet(df, gold_path, partition_by=partition_by, max_records_per_file=max_records_per_file)
-
-    # Lines are read when Gold is written, so the read has succeeded, and its
-    # count is known (parse and enrichment keep every line), only after that.
-    with log.step(C.STEP_READ, f"Reading access log {source}") as read_step, _split_size(spark, split_bytes):
-        bronze = read_logs(spark, source)
-        with log.step(C.STEP_SILVER, "Parsing lines into the Silver layer"):
-            silver = bronze_to_silver(bronze)
-        with log.step(C.STEP_GOLD, "Enriching the Silver layer into Gold"):
-            gold = silver_to_gold(silver)
-        with log.step(C.STEP_SAVE, f"Writing Gold Parquet to {gold_path}"):
-            # The observer sits in the final (writing) stage, where each task's
-            # metrics count once even when tasks are retried; for a single file
-            # the shuffle to one partition therefore comes before it.
-            rows = observed_write(gold.repartition(1) if single_file else gold, write)
-        read_step.record_count = rows
-
-    with log.step(C.STEP_TRIGGER, f"Publishing manifest {manifest_path}"):
-        publish_manifest(spark, manifest_path, gold_path, rows)
+        write_files(df, version.path, partition_by=partition_by, max_records_per_file=max_records_per_file, skip_by=skip_by)
+
+    with versions.writing() as version:
+        # Lines are read when Gold is written, so the read, the parse and the
+        # enrichment have succeeded, and their counts are known, only after that.
+        with log.step(C.STEP_READ, f"Reading access log {source}") as read_step, _split_size(spark, split_bytes):
+            bronze = read_logs(spark, source)
+            with log.step(C.STEP_SILVER, "Parsing lines into the Silver layer") as silver_step:
+                silver = bronze_to_silver(bronze)
+                with log.step(C.STEP_GOLD, "Enriching the Silver layer into Gold") as gold_step:
+                    gold = silver_to_gold(silver)
+                    with log.step(C.STEP_SAVE, f"Writing Gold Parquet to {version.path}"):
+                        # The observer sits in the final (writing) stage, where each task's
+                        # metrics count once even when tasks are retried; a shuffle for a
+                        # single file or for partitions therefore comes before it.
+                        counts = observed_layers(arranged(gold, **single), write)
+                    gold_step.record_count, gold_step.message = counts["rows"], C.GOLD_MESSAGE.format(**counts)
+                silver_step.record_count, silver_step.message = counts["rows"], C.SILVER_MESSAGE.format(**counts)
+            rows = read_step.record_count = counts["rows"]
+        versions.commit(version, row_count=rows)
 
     with log.step(C.STEP_TABLE, f"Publishing table {table_name}") as table_step:
         if table_path is None and fmt == "parquet":
-            register_table(spark, table_name, gold_path, partition_by=partition_by)
+            point_table(spark, table_name, versions, partition_by=partition_by)
             table_step.record_count = rows
         else:
             table_path = table_path or f"{gold_path.rstrip('/')}_{fmt}"
-            published = read_published_gold(spark, gold_path)
+            published = read_published_gold(spark, version.path)
             table_step.record_count = observed_write(
                 published,
                 lambda df: publish_table(df, table_name, table_path, fmt=fmt, partition_by=partition_by),
             )
 
-    for old in sorted(n for n in list_folder(spark, versions) if n.startswith("run-"))[:-2]:
-        delete_folder(spark, f"{versions}/{old}")
-    return IngestResult(rows, gold_path, manifest_path, table_name, table_path or gold_path)
+    with log.step(C.STEP_TRIGGER, f"Publishing manifest {manifest_path}"):
+        publish_manifest(spark, manifest_path, version.path, rows)
+
+    versions.prune()
+    return IngestResult(rows, version.path, manifest_path, table_name, table_path or version.path, counts)
 
 
 @contextmanager

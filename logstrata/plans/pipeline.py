@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logstrata.constants import SQL_VIEW_NAME
 from logstrata.plans.analysis import AnalysisReport, run_analyses
-from logstrata.plans.audit import StepLog
+from logstrata.plans.audit import StepLog, read_step_log
 from logstrata.plans.ingest import IngestResult, run_ingest
-from logstrata.plans.sql import query_table
+from logstrata.plans.sql import query_frames
 from logstrata.session import scratch_path
 from logstrata.sources.tables import load_gold
 
@@ -50,8 +52,10 @@ def run_pipeline(
     parallel_analyses: int = 1,
     max_records_per_file: int | None = None,
     split_bytes: int | None = None,
+    sort_by: Sequence[str] | None = None,
+    skip_by: dict[str, int] | None = None,
 ) -> PipelineResult:
-    """Run E1 then E2 on ``source``; the step log is stored even on failure.
+    """Run E1 then E2 on ``source``; the step log is stored even on failure, and journalled for the case that the driver is killed.
 
     ``output_dir`` must be a shared location (default: a fresh folder under
     ``spark.checkpoint.dir``).  The table is the Gold Parquet registered in
@@ -61,7 +65,7 @@ def run_pipeline(
     ``parallel_analyses`` > 1 runs them as concurrent jobs.
     """
     paths = PipelinePaths.under(output_dir or scratch_path(spark, "pipeline"))
-    log = StepLog()
+    log = StepLog(spark=spark, path=paths.step_log)
     ingest = report = None
     try:
         ingest = run_ingest(
@@ -77,6 +81,8 @@ def run_pipeline(
             partition_by=partition_by,
             max_records_per_file=max_records_per_file,
             split_bytes=split_bytes,
+            sort_by=sort_by,
+            skip_by=skip_by,
         )
         report = run_analyses(load_gold(spark, table=table_name), log, parallel=parallel_analyses)
     except BaseException as exc:
@@ -90,6 +96,7 @@ def run_pipeline(
     return PipelineResult(paths, table_name, ingest, report, log)
 
 
-def query_step_log(spark: SparkSession, result: PipelineResult, query: str, fmt: str = "parquet") -> DataFrame:
-    """Q1 over the stored step log of a run."""
-    return query_table(spark, result.paths.step_log, query, fmt=fmt)
+def query_step_log(spark: SparkSession, result: PipelineResult | str, query: str, fmt: str = "parquet", args: Mapping[str, Any] | list | None = None) -> DataFrame:
+    """Q1 over the step log of a run, or over the one at a path; runs that were killed are in it as far as they came."""
+    path = result if isinstance(result, str) else result.paths.step_log
+    return query_frames(spark, {SQL_VIEW_NAME: lambda own: read_step_log(own, path, fmt)}, query, args)

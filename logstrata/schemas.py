@@ -45,5 +45,6 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("path", T.StringType(), False),
         T.StructField("row_count", T.LongType(), False),
         T.StructField("published_at", T.StringType(), False),
+        T.StructField("version", T.LongType(), False),
     ]
 )

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import warnings
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale; the tests use the same ones on local[*].
@@ -141,3 +143,40 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove an output this library wrote, such as a :func:`scratch_path` no longer needed."""
     files, target = _file_system(spark, path)
     files.delete(target, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written aside and renamed, so a reader finds all of it or none."""
+    files, target = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_aside-{uuid.uuid4().hex}")
+    out = files.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.rename(aside, target):
+        files.delete(aside, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if it is not there (any more)."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    try:
+        stream = files.open(target)
+    except Py4JJavaError as gone:
+        if "FileNotFoundException" in str(gone.java_exception.getClass()):
+            return None
+        raise
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since ``path`` was last written, by the clock of the file system."""
+    files, target = _file_system(spark, path)
+    return time.time() - files.getFileStatus(target).getModificationTime() / 1000

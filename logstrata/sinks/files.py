@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstrata.schemas import GOLD_SCHEMA, MANIFEST_SCHEMA
+from logstrata.sinks.versions import Versions
 
 # CSV marker for NULL.  With Spark's defaults (or an extra ``emptyValue``) an
 # empty string and NULL become indistinguishable after a round trip, and Gold
@@ -31,33 +31,69 @@ def _strings(df: DataFrame, change) -> DataFrame:
     return df.select(*[change(F.col(n)).alias(n) if kind == "string" else F.col(n) for n, kind in df.dtypes])
 
 
-def publish_parquet(
+def arranged(df: DataFrame, single_file: bool = False, partition_by: Sequence[str] | None = None, sort_by: Sequence[str] | None = None) -> DataFrame:
+    """``df`` as it goes to the files.
+
+    A single file takes a shuffle to one partition *after* the parallel parse
+    (``coalesce(1)`` would pull the whole scan and parse into a single task).
+    Partitioned data are rebalanced by the partition columns: adaptive
+    execution splits a hot day into parts of the advisory size and joins small
+    ones, so a day has about size / advisory size files instead of one for
+    each task that met it.  ``sort_by`` sorts the rows within each file.
+    """
+    if single_file:
+        df = df.repartition(1)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
+    return df.sortWithinPartitions(*(partition_by or ()), *sort_by) if sort_by else df
+
+
+def write_files(
     df: DataFrame,
     path: str,
+    fmt: str = "parquet",
     mode: str = "overwrite",
-    single_file: bool = False,
     partition_by: Sequence[str] | None = None,
     max_records_per_file: int | None = None,
+    skip_by: dict[str, int] | None = None,
 ) -> None:
-    """K1: write ``df`` as Parquet (overwrite by default).
+    """Write ``df`` as it is arranged.
 
-    By default every task writes its own file, so parsing and writing stay
-    fully parallel.  ``single_file=True`` is for small consumers that want
-    one file: it inserts a shuffle to one partition *after* the parallel
-    parse (``coalesce(1)`` would pull the whole scan and parse into a single
-    task).  ``partition_by=["Date"]`` lays the data out for partition
-    pruning by date.  An overwrite replaces everything at ``path``, whatever
-    the session's partition overwrite mode is.
+    ``skip_by`` gives columns Parquet bloom filters (column -> distinct values
+    expected in a row group), so a filter on a value that a row group does not
+    hold skips it.
     """
-    out = df.repartition(1) if single_file else df
-    writer = out.write.mode(mode).format("parquet").option("partitionOverwriteMode", "static")
+    writer = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+    for column, distinct in (skip_by or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(int(distinct)))
     writer.save(path)
 
 
+def publish_parquet(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    single_file: bool = False,
+    partition_by: Sequence[str] | None = None,
+    max_records_per_file: int | None = None,
+    sort_by: Sequence[str] | None = None,
+    skip_by: dict[str, int] | None = None,
+) -> None:
+    """K1: write ``df`` as Parquet (overwrite by default).
+
+    By default every task writes its own file, so parsing and writing stay
+    fully parallel; see :func:`arranged` for ``single_file``, ``partition_by``
+    (``["Date"]`` lays the data out for partition pruning) and ``sort_by``, and
+    :func:`write_files` for ``skip_by``.  An overwrite replaces everything at
+    ``path``, whatever the session's partition overwrite mode is.
+    """
+    write_files(arranged(df, single_file, partition_by, sort_by), path, mode=mode, partition_by=partition_by, max_records_per_file=max_records_per_file, skip_by=skip_by)
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """K5: CSV export of the (filtered) request table, with a header."""
     out = df.repartition(1) if single_file else df
@@ -71,19 +107,22 @@ def read_csv_export(spark: SparkSession, path: str, schema=GOLD_SCHEMA) -> DataF
     return _strings(stored, lambda c: F.when(c.startswith("\\"), F.substring(c, 2, 2_147_483_647)).otherwise(c))
 
 
-def publish_manifest(spark: SparkSession, manifest_path: str, data_path: str, row_count: int) -> None:
-    """K4: one-row JSON manifest saying "new data at ``data_path``".
+def publish_manifest(spark: SparkSession, manifest_path: str, data_path: str, row_count: int, keep: int = 8) -> None:
+    """K4: a one-row JSON marker saying "new data at ``data_path``".
 
-    Written only after the data write succeeded, so a consumer that watches
-    the manifest (a refresh flow) never sees a half-written publish.
+    Published only after the data write succeeded, so a consumer that watches
+    the folder (a refresh flow) never sees a half-written publish.  Each
+    publish adds a file of its own, written aside and renamed; the one with
+    the highest version counts, so there is always one to read and an older
+    run never hides a newer one.  All but the last ``keep`` are removed.
     """
-    manifest = spark.range(0, 1, 1, 1).select(
-        F.lit(data_path).alias("path"),
-        F.lit(int(row_count)).cast("bigint").alias("row_count"),
-        F.lit(dt.datetime.now(dt.timezone.utc).isoformat()).alias("published_at"),
-    )
-    manifest.write.mode("overwrite").json(manifest_path)
+    versions = Versions(spark, manifest_path)
+    versions.commit(versions.claim(), path=data_path, row_count=int(row_count))
+    versions.prune(keep)
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).json(manifest_path)
+    """The marker as one row; no row before the first publish."""
+    latest = Versions(spark, manifest_path).latest()
+    fields = [f.name for f in MANIFEST_SCHEMA]
+    return spark.createDataFrame([tuple(latest[f] for f in fields)] if latest else [], MANIFEST_SCHEMA)

@@ -13,6 +13,8 @@ from logstrata.plans.pipeline import query_step_log, run_pipeline
 from logstrata.plans.sql import query_table, successful_steps_query
 from logstrata.schemas import AUDIT_SCHEMA, GOLD_COLUMNS
 from logstrata.sinks import export_csv, publish_manifest, publish_parquet, publish_table, read_csv_export, read_manifest
+from logstrata.sinks.versions import current_path
+from logstrata.sources.tables import load_gold
 
 
 def _rows(df):
@@ -47,7 +49,7 @@ def test_table_publish_is_external_and_rerun_replaces(spark, gold, scratch):
     publish_table(gold, "t_k2", path)
     publish_table(gold.limit(5), "t_k2", path)
     assert spark.table("t_k2").count() == 5
-    assert spark.read.parquet(path).count() == 5
+    assert spark.read.parquet(current_path(spark, path)).count() == 5
     kind = [r for r in spark.sql("DESCRIBE TABLE EXTENDED t_k2").collect() if r[0] == "Type"][0][1]
     assert kind.upper() == "EXTERNAL"
 
@@ -101,12 +103,12 @@ def test_pipeline_run_and_sql(spark):
     result = catalog.pipeline_run(spark, SF_SMALL)
     ok = query_step_log(spark, result, successful_steps_query()).collect()
     assert [r.PipelineStep for r in ok] == [
-        C.STEP_SILVER, C.STEP_GOLD, C.STEP_SAVE, C.STEP_READ, C.STEP_TRIGGER, C.STEP_TABLE,
+        C.STEP_SAVE, C.STEP_GOLD, C.STEP_SILVER, C.STEP_READ, C.STEP_TABLE, C.STEP_TRIGGER,
         C.STEP_TOP_IPS, C.STEP_TOP_ENDPOINTS, C.STEP_DISTINCT_IPS, C.STEP_DISTINCT_DAYS,
         C.STEP_RESPONSE_SIZE, C.STEP_ERROR_WEEKDAY,
     ]
     counts = {r.PipelineStep: r.RecordCount for r in ok}
-    assert counts[C.STEP_READ] == counts[C.STEP_TABLE] == 1000
+    assert counts[C.STEP_READ] == counts[C.STEP_SILVER] == counts[C.STEP_GOLD] == counts[C.STEP_TABLE] == 1000
     assert counts[C.STEP_DISTINCT_IPS] == 17 and counts[C.STEP_DISTINCT_DAYS] == 31
     assert result.report.distinct_ips == 17
     # the view is dropped again after the query was analysed
@@ -141,7 +143,7 @@ def test_pipeline_in_another_table_format(spark, scratch):
     out = scratch("orc-run")
     result = run_pipeline(spark, text, output_dir=out, table_name="t_orc", fmt="orc")
     assert spark.table("t_orc").count() == 1000
-    assert spark.read.orc(result.paths.table).count() == 1000
+    assert load_gold(spark, path=result.paths.table, fmt="orc").count() == 1000
     steps = query_table(spark, result.paths.step_log, "SELECT count(*) FROM logs_temp", fmt="orc").first()[0]
     assert steps == 24
 
@@ -248,13 +250,13 @@ def test_a_run_that_fails_in_the_middle_leaves_the_published_data(spark, scratch
     root = scratch("safe")
     lines_frame(spark, ["a", "b"]).write.text(f"{root}/text")
     ingest.run_ingest(spark, f"{root}/text", f"{root}/gold", f"{root}/manifest", "t_safe")
-    real = ingest.publish_parquet
+    real = ingest.write_files
 
     def half(df, path, **options):
         real(df.limit(1), path)
         raise OSError("lost")
 
-    monkeypatch.setattr(ingest, "publish_parquet", half)
+    monkeypatch.setattr(ingest, "write_files", half)
     log = StepLog()
     with pytest.raises(OSError):
         ingest.run_ingest(spark, f"{root}/text", f"{root}/gold", f"{root}/manifest", "t_safe", log=log)
@@ -271,7 +273,7 @@ def test_old_runs_are_removed_and_files_sized(spark, scratch):
     lines_frame(spark, ["line"] * 100).coalesce(1).write.text(f"{root}/text")
     for _ in range(4):
         result = run_ingest(spark, f"{root}/text", f"{root}/gold", f"{root}/manifest", "t_versions", max_records_per_file=30)
-    assert len(list_folder(spark, f"{root}/gold")) == 2
+    assert len([n for n in list_folder(spark, f"{root}/gold/_versions") if n.startswith("data-")]) == 2
     assert len(spark.read.parquet(result.gold_path).inputFiles()) == 4
     split = run_ingest(spark, f"{root}/text", f"{root}/gold", f"{root}/manifest", "t_versions", split_bytes=100)
     assert split.row_count == 100 and len(spark.read.parquet(split.gold_path).inputFiles()) > 1
