@@ -21,6 +21,7 @@ from logstrata.operators import metrics as M
 from logstrata.operators.requests import request_table
 from logstrata.plans.ingest import read_published_gold, run_ingest
 from logstrata.plans.pipeline import PipelineResult, query_step_log, run_pipeline
+from logstrata.plans.rollup import Rollup, touched_days, update_rollup
 from logstrata.plans.sql import error_steps_query, successful_steps_query
 from logstrata.session import scratch_path
 from logstrata.sinks.files import export_csv, publish_parquet, read_csv_export, read_manifest
@@ -39,6 +40,10 @@ REQUEST_FILTER = {
     "date_to": "2024-01-20",
 }
 
+#: Days up to this one are in the first part of the log that the rollup queries keep state of.
+ROLLUP_UNTIL = "2024-01-15"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
@@ -190,6 +195,31 @@ def q_streaming_ingest(spark, sf_dir):
     return read_published_gold(spark, out)
 
 
+def q_gold_by_path(spark, sf_dir):
+    """Three runs to one path, by date: a reader of the path gets the last of them, whole."""
+    root, text = scratch_path(spark, "gold-by-path"), log_text(spark, sf_dir)
+    name = "access_log_" + root.rsplit("-", 1)[-1]
+    for _ in range(3):
+        run_ingest(spark, text, f"{root}/gold", f"{root}/manifest", name, partition_by=["Date"])
+    return load_gold(spark, path=f"{root}/gold")
+
+
+def rollup(spark: SparkSession, sf_dir: str) -> Rollup:
+    """Dashboard state of a log that came in two parts: the days up to ``ROLLUP_UNTIL``, then the others and the undated lines."""
+    root, text = scratch_path(spark, "rollup"), log_text(spark, sf_dir)
+    name = "access_log_" + root.rsplit("-", 1)[-1]
+    run_ingest(spark, text, f"{root}/gold", f"{root}/manifest", name, partition_by=["Date"])
+    gold = load_gold(spark, path=f"{root}/gold")
+    early = F.col("Date") <= F.lit(ROLLUP_UNTIL).cast("date")
+    update_rollup(spark, gold.where(early), f"{root}/rollup")
+    update_rollup(spark, gold, f"{root}/rollup", touched_days(gold.where(~early | F.col("Date").isNull())))
+    return Rollup.load(spark, f"{root}/rollup")
+
+
+def _on_rollup(fn: Callable[[Rollup], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: fn(rollup(spark, sf_dir))
+
+
 def _on_gold(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(published(spark, sf_dir))
@@ -239,6 +269,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_republish_by_date": q_table_republish_by_date,
     "csv_export": q_csv_export,
     "publish_manifest": q_publish_manifest,
+    "gold_by_path": q_gold_by_path,
+    # dashboard from state kept by day, renewed for part of the days
+    "rollup_summary": _on_rollup(Rollup.summary),
+    "rollup_breakdowns": _on_rollup(Rollup.breakdowns),
+    "rollup_top_ips": _on_rollup(Rollup.top_ips),
+    "rollup_top_endpoints": _on_rollup(Rollup.top_endpoints),
+    "rollup_response_size": _on_rollup(Rollup.response_size),
     # step log and SQL over it
     "audit_steps": q_audit_steps,
     "audit_success": q_audit_success,

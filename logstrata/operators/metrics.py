@@ -179,7 +179,11 @@ def dashboard_breakdowns(gold: DataFrame) -> DataFrame:
     Every row of the cube goes to each of its panels, so the log itself is
     read and grouped once.
     """
-    cube = dashboard_cube(gold)
+    return breakdowns_of_cube(dashboard_cube(gold))
+
+
+def breakdowns_of_cube(cube: DataFrame) -> DataFrame:
+    """The panels of :func:`dashboard_breakdowns` from a cube that is at hand."""
 
     def entry(panel: str, key: Column) -> Column:
         return F.struct(F.lit(panel).alias("panel"), key.cast("string").alias("key"))
@@ -192,9 +196,14 @@ def dashboard_breakdowns(gold: DataFrame) -> DataFrame:
 
 def dashboard_totals(gold: DataFrame) -> DataFrame:
     """D1, D3, D4 and D6 from the cube, as one row; counts are 0 and means NULL without rows."""
+    return totals_of_cube(dashboard_cube(gold))
+
+
+def totals_of_cube(cube: DataFrame) -> DataFrame:
+    """The row of :func:`dashboard_totals` from a cube that is at hand."""
     dated = F.col("Date").isNotNull()
     days = F.count_distinct("Date")
-    return dashboard_cube(gold).agg(
+    return cube.agg(
         F.coalesce(F.sum("with_ip"), F.lit(0)).alias("total_requests"),
         _distinct_with_null("Date").cast("bigint").alias("distinct_days"),
         F.try_divide(F.sum(F.when(dated, F.col("requests"))).cast("double"), days).alias("mean_requests_per_day"),

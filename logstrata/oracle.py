@@ -260,7 +260,12 @@ def oracle_sql() -> dict[str, str]:
             "count(*) AS \"Loaded\" FROM events"
         ),
         "streaming_ingest": gold_all,
+        "gold_by_path": gold_all,
     }
+    for name in ("summary", "breakdowns"):
+        sql[f"rollup_{name}"] = sql[f"dashboard_{name}"]
+    for name in ("top_ips", "top_endpoints", "response_size"):
+        sql[f"rollup_{name}"] = sql[name]
     return sql
 
 

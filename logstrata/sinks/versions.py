@@ -47,13 +47,29 @@ class Versions:
         last = max((int(n.split("-")[0]) for n in self._named("claim") + self._named("marker")), default=0)
         name = f"{last + 1:012d}-{uuid.uuid4().hex[:8]}"
         put_text(self._spark, f"{self.folder}/claim-{name}.json", "{}")
-        return Version(last + 1, name, f"{self.folder}/data-{name}")
+        return Version(last + 1, name, self.data(name))
 
-    def commit(self, version: Version, **facts) -> None:
-        """Make ``version`` readable, with some ``facts`` about it."""
+    def data(self, name: str) -> str:
+        """The folder of a version's data."""
+        return f"{self.folder}/data-{name}"
+
+    def commit(self, version: Version, at_the_end: bool = False, **facts) -> None:
+        """Make ``version`` readable, with some ``facts`` about it.
+
+        ``at_the_end`` gives it the next number instead of the one claimed,
+        for a version that goes on from the current one.  The fact ``uses``
+        lists versions whose data it needs too.
+        """
+        if at_the_end and (newest := max((int(n.split("-")[0]) for n in self.committed()), default=0)) >= version.number:
+            later = Version(newest + 1, f"{newest + 1:012d}-{uuid.uuid4().hex[:8]}", version.path)
+            self._mark(later, facts)
+        else:
+            self._mark(version, facts)
+        delete_folder(self._spark, f"{self.folder}/claim-{version.name}.json")
+
+    def _mark(self, version: Version, facts: dict) -> None:
         marker = {"version": version.number, "path": version.path, "published_at": dt.datetime.now(dt.timezone.utc).isoformat(), **facts}
         put_text(self._spark, f"{self.folder}/marker-{version.name}.json", json.dumps(marker))
-        delete_folder(self._spark, f"{self.folder}/claim-{version.name}.json")
 
     def abort(self, version: Version) -> None:
         """Remove what an unfinished run has written; a committed version stays."""
@@ -90,14 +106,21 @@ class Versions:
         Versions that are still being written are not touched.
         """
         names = self.committed()
-        old = names[:-keep] if keep else names
-        for name in old:
+        kept = names[-keep:] if keep else []
+        used = {*kept, *self._named("claim")}
+        for name in kept:
+            facts = json.loads(get_text(self._spark, f"{self.folder}/marker-{name}.json") or "{}")
+            used |= {*facts.get("uses", ()), facts.get("path", "").rpartition("data-")[2]}
+        for name in names[: len(names) - len(kept)]:
             delete_folder(self._spark, f"{self.folder}/marker-{name}.json")
-            delete_folder(self._spark, f"{self.folder}/data-{name}")
+        last = kept[-1] if kept else None
+        for name in self._named("data"):
+            if name not in used and last is not None and name < last:  # later ones may have been claimed since
+                delete_folder(self._spark, self.data(name))
         for name in self._named("claim"):
             claim = f"{self.folder}/claim-{name}.json"
             if age_seconds(self._spark, claim) > abandoned_seconds:
-                delete_folder(self._spark, f"{self.folder}/data-{name}")
+                delete_folder(self._spark, self.data(name))
                 delete_folder(self._spark, claim)
 
 
