@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from logstrata import constants as C
 from logstrata.operators.layers import bronze_to_silver, silver_to_gold
 from logstrata.plans.audit import StepLog
+from logstrata.plans.sql import own_session
 from logstrata.schemas import GOLD_COLUMNS, GOLD_SCHEMA
 from logstrata.sinks.files import arranged, publish_manifest, write_files
 from logstrata.sinks.tables import point_table, publish_table
@@ -55,6 +55,15 @@ def observed_write(df: DataFrame, write) -> int:
     return int(obs.get["rows"])
 
 
+def _with_splits(spark: SparkSession, split_bytes: int | None) -> SparkSession:
+    """``spark``, or a session like it that reads input in splits of ``split_bytes``; the caller's settings stay."""
+    if not split_bytes:
+        return spark
+    own = own_session(spark)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(split_bytes)))
+    return own
+
+
 def read_published_gold(spark: SparkSession, gold_path: str) -> DataFrame:
     """Gold Parquet with the contract schema and column order.
 
@@ -103,8 +112,8 @@ def run_ingest(
     with versions.writing() as version:
         # Lines are read when Gold is written, so the read, the parse and the
         # enrichment have succeeded, and their counts are known, only after that.
-        with log.step(C.STEP_READ, f"Reading access log {source}") as read_step, _split_size(spark, split_bytes):
-            bronze = read_logs(spark, source)
+        with log.step(C.STEP_READ, f"Reading access log {source}") as read_step:
+            bronze = read_logs(_with_splits(spark, split_bytes), source)
             with log.step(C.STEP_SILVER, "Parsing lines into the Silver layer") as silver_step:
                 silver = bronze_to_silver(bronze)
                 with log.step(C.STEP_GOLD, "Enriching the Silver layer into Gold") as gold_step:
@@ -136,16 +145,3 @@ def run_ingest(
 
     versions.prune()
     return IngestResult(rows, version.path, manifest_path, table_name, table_path or version.path, counts)
-
-
-@contextmanager
-def _split_size(spark: SparkSession, split_bytes: int | None):
-    """The session's input split size set to ``split_bytes`` for a while."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    if split_bytes:
-        spark.conf.set(name, str(int(split_bytes)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
