@@ -14,31 +14,13 @@ from pyspark.sql import functions as F
 
 from logstrata.llm.common import ship_package, table, written
 from logstrata.llm.jaccard import near_duplicate_groups
-from logstrata.llm.langid import UNKNOWN, ContextTrees, identify, train
+from logstrata.llm.langid import fits, identify, train
 from logstrata.llm.linededup import dedup_lines
 from logstrata.llm.packing import pack_documents
 from logstrata.llm.substring import remove_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A text that costs more bits a byte under every language than its plain bytes is in none of them.  Prose costs
-#: 2 to 4.5, short prose around a key, a password or a number up to 7.4.
-REJECT_BITS = 8.0
-#: Beyond the allowance (bits; a key of a hundred bytes) a text may cost twice the rate of the texts its language was
-#: learned from, and what prose costs in any case.  A language learned from few bytes is judged by REJECT_BITS alone.
-ALLOWANCE, TIMES, PROSE_BITS, LEARNED_BYTES = 800.0, 2.0, 4.5, 100_000
-
-
-def _most_bits(trees: ContextTrees) -> F.Column:
-    """Bits a byte up to which a text counts as its predicted language."""
-    most = F.lit(REJECT_BITS)
-    for language, (learned, rate) in trees.own_rates().items():
-        if learned >= LEARNED_BYTES:
-            rate = F.lit(max(PROSE_BITS, TIMES * rate)) + F.lit(ALLOWANCE) / F.greatest(F.octet_length("text"), F.lit(1))
-            most = F.when(F.col("__lang_pred") == language, F.least(F.lit(REJECT_BITS), rate)).otherwise(most)
-    return most
-
-
 def _with_text(docs: DataFrame, text: F.Column, columns: list[str]) -> DataFrame:
     """``columns`` with the text replaced and n_chars, if there, counted anew."""
     docs = docs.withColumn("text", text)
@@ -52,13 +34,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not trees.languages:  # nothing to judge by: only texts without a letter go
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     found = identify(docs, trees, prefix="__")
-    found = found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__bits_per_byte") <= _most_bits(trees)))
+    found = found.where(fits(trees, prefix="__"))
     return found.select(*[F.coalesce("lang", "__lang_pred").alias(c) if c == "lang" else c for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand on many sites leave the texts, short pages too; whole copies are left to the next stage."""
-    return _with_text(dedup_lines(docs, thin=True), F.col("text"), docs.columns)
+    return _with_text(dedup_lines(docs), F.col("text"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
