@@ -112,6 +112,28 @@ def test_recall_on_the_table(spark):
     assert hits / total >= 0.9
 
 
+def test_clustered_vectors_need_a_small_share(spark):
+    """100 clusters: the measured share opens under a tenth of the rows, and recall holds."""
+    from logstrata.llm.forest import Forest, least_share, nearest
+
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(100, 16))
+    x = centres[r.integers(0, 100, 6000)] + 0.05 * r.normal(size=(6000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = Forest(x, 4, 9, 1.0)
+    assert least_share(forest, x, 20, 0.96) * 4 < 0.1  # of the rows, in all four trees together
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for row in nearest(df, df.where("vec_id % 20 = 0")).collect():
+        found.setdefault(row["query_id"], set()).add(row["vec_id"])
+    hits = 0
+    for n in range(0, 6000, 20):
+        scores = x @ x[n]
+        scores[n] = -np.inf
+        hits += len(found[n] & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (300 * 20) >= 0.95
+
+
 def test_components_of_long_chains_and_stars(spark):
     from logstrata.llm.common import components
 
