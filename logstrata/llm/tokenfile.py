@@ -27,8 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import batches, pieces_for, table, text_bytes, written
+from logstrata.llm.common import batches, give_back, pieces_for, table, text_bytes, written
 from logstrata.llm.tokens import encoder
+from logstrata.llm.wordchunks import text_pieces
 from logstrata.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -115,6 +116,10 @@ class TokenFileReader:
             yield (doc_id if has_id else None), plain[first:first + 4 * ids] if ids else b""
 
 
+#: Text encoded at once.
+_TEXT_BYTES = 8 << 20
+
+
 def write_token_files(
     docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
     tokenizer_path: str | None = None, end_id: int = END_ID, file_bytes: int = 32 << 20,
@@ -133,31 +138,33 @@ def write_token_files(
     source = tokenizer_path or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     files = pieces_for(rows, text_bytes(), file_bytes)
-    tie = F.xxhash64("text")
-    rows = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    # Rows that repeat an id and text may fill several files: their place in the input tells them apart.
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("place")]
+    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("place")
     schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
     end = struct.pack("<I", end_id)
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         out, counts = None, [0, 0]
-        for batch in parts:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
-                if out is None and piece.num_rows:
-                    store, folder = fs.FileSystem.from_uri(path)
-                    store.create_dir(folder, recursive=True)
-                    draft, final = f"{folder}/_{uuid.uuid4().hex}", f"{folder}/part-{part:06d}.ids.zst"
-                    out = store.open_output_stream(draft)
-                    writer = TokenFileWriter(out)
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder(source, True).encode(piece.column(1).to_pylist())):
-                    writer.add(doc_id, ids + end)
-                    counts = [counts[0] + 1, counts[1] + len(ids) // 4 + 1]
+        for held in text_pieces(parts, 1, _TEXT_BYTES):
+            if out is None:
+                store, folder = fs.FileSystem.from_uri(path)
+                store.create_dir(folder, recursive=True)
+                draft, final = f"{folder}/_{uuid.uuid4().hex}", f"{folder}/part-{part:06d}.ids.zst"
+                out = store.open_output_stream(draft)
+                writer = TokenFileWriter(out)
+            ids_of, texts = ([v for piece in held for v in piece.column(c).to_pylist()] for c in (0, 1))
+            for doc_id, ids in zip(ids_of, encoder(source, True).encode(texts)):
+                writer.add(doc_id, ids + end)
+                counts = [counts[0] + 1, counts[1] + len(ids) // 4 + 1]
         if out is not None:
             writer.finish()
             out.close()
             store.move(draft, final)
             yield next(batches([[part, f"{path}/part-{part:06d}.ids.zst", *counts]], schema))
+        give_back()
 
     listed = written(rows.mapInArrow(write, "part int, file string, docs long, ids long"), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
