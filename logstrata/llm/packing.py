@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import batches, pieces_for, table, written
+from logstrata.llm.common import batches, dealt, give_back, pieces_for, table, written
 from logstrata.llm.tokens import encoder
+from logstrata.llm.wordchunks import text_pieces
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -320,7 +321,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 12_000) -> Da
     every column still get places of their own.
     """
     salts = pieces_for(pieces, F.lit(1), SALT_ROWS)
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("__salt", dealt(salts, "doc_id", "piece", "length").cast("int"))
     groups = salted.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
     counts = {int(r[0]): int(r[1]) for r in groups.groupBy("length").agg(F.sum("__n")).collect()}
     if counts and not 1 <= min(counts) <= max(counts) <= capacity:
@@ -349,6 +350,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 12_000) -> Da
     return ranked.mapInArrow(place, pieces.schema.add("sequence_id", "long").add("offset", "long"))
 
 
+#: Text encoded at once.
+_TEXT_BYTES = 8 << 20
+
+
 def cut_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY
 ) -> DataFrame:
@@ -364,16 +369,17 @@ def cut_documents(
     end = struct.pack("<I", end_id)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for first in range(0, part.num_rows, 256):
-                yield from batches(_pieces(part.slice(first, 256), encoder(source, False), end, capacity), schema)
+        for held in text_pieces(parts, 1, _TEXT_BYTES):
+            ids, texts = ([v for piece in held for v in piece.column(c).to_pylist()] for c in (0, 1))
+            yield from batches(_pieces(ids, texts, encoder(source, False), end, capacity), schema)
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
-def _pieces(part: pa.RecordBatch, tokens, end: bytes, capacity: int) -> Iterator[list]:
-    for doc_id, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
+def _pieces(doc_ids: list, texts: list[str | None], tokens, end: bytes, capacity: int) -> Iterator[list]:
+    for doc_id, ids in zip(doc_ids, tokens.encode(texts)):
         ids += end
         for n, at in enumerate(range(0, len(ids), 4 * capacity)):
             piece = ids[at:at + 4 * capacity]
