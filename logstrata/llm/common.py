@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
@@ -62,6 +63,17 @@ def text_bytes(text: str = "text") -> F.Column:
     return F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + F.lit(1)
 
 
+def dealt(pieces: int, *columns: str) -> F.Column:
+    """A piece for each row, by a hash of ``columns`` and of where the row stands in its input split.
+
+    Equal rows (a third of all may be) go to many pieces.  A task that runs
+    again deals its rows as before if it reads them in the same order, which
+    holds for files; other input should be written first.
+    """
+    place = F.shiftrightunsigned(F.monotonically_increasing_id(), 6)
+    return F.pmod(F.xxhash64(*columns, place), F.lit(pieces)).cast("long")
+
+
 def batches(rows: Iterable[list], schema: pa.Schema, limit: int = 4096) -> Iterator[pa.RecordBatch]:
     """Rows (lists in schema order) as record batches of at most ``limit`` rows."""
     held: list = []
@@ -74,6 +86,36 @@ def batches(rows: Iterable[list], schema: pa.Schema, limit: int = 4096) -> Itera
         yield _batch(held, schema)
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system: Arrow's pool and the C heap keep it otherwise, and workers live on."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None and hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def lean(make: Callable) -> Callable:
+    """``make`` for a group of rows, giving memory back when it is done with one."""
+
+    def done(out):
+        give_back()
+        return out
+
+    # Spark counts the arguments.
+    if make.__code__.co_argcount == 1:
+        return lambda rows: done(make(rows))
+    return lambda rows, others: done(make(rows, others))
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL(None)
+    except OSError:  # not every system has one to load
+        return None
+
+
+_LIBC = _libc()
+
+
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

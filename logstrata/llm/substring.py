@@ -1,6 +1,6 @@
 """Operator 2: substring dedup by Rabin-Karp hashes of all fixed-length word windows.
 
-Documents are dealt into chunks by a hash.  A chunk's windows are hashed in
+Documents are dealt into chunks.  A chunk's windows are hashed in
 numpy, and their hashes go, at most two copies each, to buckets of the hash
 space as packed arrays; a bucket finds the hashes that occur more than once
 and tells each chunk which of its own those are.  The chunk then merges the
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
-from logstrata.llm.common import pieces_for, table, text_bytes
+from logstrata.llm.common import dealt, lean, pieces_for, table, text_bytes
+from logstrata.llm.wordchunks import segments
 
 WINDOW = 35
 # Fixed odd bases of the two polynomial hashes modulo 2^64.
@@ -44,12 +45,14 @@ class _Windows:
     """Hashes of all windows of a chunk's documents, and where they stand."""
 
     def __init__(self, texts: list[bytes | None], window: int):
-        self.words = [t.split() if t else [] for t in texts]  # bytes.split cuts at the blanks of WORD
-        self.window = window
+        self.texts, self.window = texts, window
         number = defaultdict(count().__next__)
-        lengths = np.array([len(w) for w in self.words], np.int64)
+        # Words as numbers, text by text: a chunk has millions of words, too many to hold as objects.
+        parts = [np.array([number[x] for x in self.words(i)], np.int32) for i in range(len(texts))]
+        lengths = np.array([len(p) for p in parts], np.int64)
         self.ends = np.cumsum(lengths)
-        ids = np.fromiter((number[x] for w in self.words for x in w), np.int64, int(lengths.sum()))
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        del parts
         self.size = len(ids)
         self.at = np.zeros(0, np.int64)
         self.hashes = self.spread = np.zeros(0, np.uint64)
@@ -61,10 +64,16 @@ class _Windows:
         self.hashes = first ^ (second >> np.uint64(32))
         self.spread = second * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(24)
 
+    def words(self, i: int) -> list[bytes]:
+        """Words of a text; bytes.split cuts at the blanks of WORD."""
+        return self.texts[i].split() if self.texts[i] else []
+
     def _rolling(self, ids: np.ndarray, number: dict, seed: int, base: int) -> np.ndarray:
         words = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in number), np.uint64, len(number))
-        sums = np.zeros(self.size + 1, np.uint64)
-        np.cumsum(words[ids] * _powers(base, self.size), out=sums[1:])
+        sums, terms = np.zeros(self.size + 1, np.uint64), words[ids]
+        terms *= _powers(base, self.size)
+        np.cumsum(terms, out=sums[1:])
+        del terms
         # (sum of w_j base^j over the window) / base^i is the same wherever the window stands.
         return (sums[self.at + self.window] - sums[self.at]) * _powers(pow(base, -1, 1 << 64), self.size)[self.at]
 
@@ -108,21 +117,21 @@ def remove_repeats(
     kept = [c for c in docs.columns if c not in added and not c.startswith("__")]
     total = pieces_for(docs, text_bytes(text_col), 1)
     chunks, buckets = -(-total // chunk_bytes), -(-total // bucket_bytes)
-    dealt = docs.select(
+    rows = docs.select(
         *kept, F.col(text_col).cast("binary").alias("__text"),
-        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(chunks)).cast("long").alias("__chunk"),
+        dealt(chunks, id_col, text_col).alias("__chunk"),
     )
     blobs = pa.schema([("__chunk", pa.int64()), ("__bucket", pa.int64()), ("__hashes", pa.binary())])
 
+    @lean
     def scatter(chunk: pa.Table) -> pa.Table:
         found = _Windows(chunk.column("__text").to_pylist(), window)
-        bucket = (found.spread % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = [(b, found.hashes[order[cuts[b]:cuts[b + 1]]]) for b in range(buckets) if cuts[b + 1] > cuts[b]]
+        order, cuts = segments((found.spread % np.uint64(buckets)).astype(np.int64))
+        rows = [(b, found.hashes[order[i:j]]) for b, i, j in cuts]
         own = chunk.column("__chunk")[0].as_py() if chunk.num_rows else 0
         return pa.table([[own] * len(rows), [b for b, _ in rows], [_at_most_two(h).tobytes() for _, h in rows]], schema=blobs)
 
+    @lean
     def gather(bucket: pa.Table) -> pa.Table:
         owners = bucket.column("__chunk").to_pylist()
         arrays = [np.frombuffer(b, np.uint64) for b in bucket.column("__hashes").to_pylist()]
@@ -134,13 +143,14 @@ def remove_repeats(
 
     answers = pa.schema([("__chunk", pa.int64()), ("__hashes", pa.binary())])
     # Both passes group the same rows, so Spark shuffles the texts once and reads that twice.
-    sent = dealt.groupBy("__chunk").applyInArrow(scatter, "__chunk long, __bucket long, __hashes binary")
+    sent = rows.groupBy("__chunk").applyInArrow(scatter, "__chunk long, __bucket long, __hashes binary")
     marked = sent.groupBy("__bucket").applyInArrow(gather, "__chunk long, __hashes binary")
-    out = dealt.drop("__text", "__chunk").schema.add("n_words", "long").add("n_removed", "long")
+    out = rows.drop("__text", "__chunk").schema.add("n_words", "long").add("n_removed", "long")
     span = StructType().add("first", "integer").add("end", "integer")
     out = out.add("removed", ArrayType(span)).add("kept", "string")
     schema = to_arrow_schema(out)
 
+    @lean
     def cut(chunk: pa.Table, marks: pa.Table) -> pa.Table:
         found = _Windows(chunk.column("__text").to_pylist(), window)
         known = [np.frombuffer(b, np.uint64) for b in marks.column("__hashes").to_pylist()]
@@ -149,13 +159,13 @@ def remove_repeats(
         arrays = [chunk.column(c).cast(schema.field(c).type) for c in kept] + [pa.array(c, schema.field(n).type) for c, n in zip(columns, added)]
         return pa.table(arrays, schema=schema)
 
-    return dealt.groupBy("__chunk").cogroup(marked.groupBy("__chunk")).applyInArrow(cut, out)
+    return rows.groupBy("__chunk").cogroup(marked.groupBy("__chunk")).applyInArrow(cut, out)
 
 
 def _documents(found: _Windows, gone: np.ndarray) -> Iterator[tuple]:
     start = 0
-    for words, end in zip(found.words, found.ends.tolist()):
-        own = gone[start:end]
+    for i, end in enumerate(found.ends.tolist()):
+        words, own = found.words(i), gone[start:end]
         start = end
         removed = int(own.sum())
         if not removed:
