@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from logstrata.llm.common import table
+from logstrata.llm.common import give_back, table
 
 UNKNOWN = "und"
 DEPTH = 3  # context bytes
 SYMBOLS = 64  # byte classes; the last holds all bytes that are rare in the sample
-_PIECE = 1 << 20  # bytes scored at once
+_PIECE = 1 << 19  # bytes scored at once
 
 #: ASCII capitals count as small letters.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -69,7 +69,6 @@ class ContextTrees:
         """Classes of the bytes, after ``DEPTH`` blanks as the first context."""
         return np.concatenate([np.full(DEPTH, self._space), self.classes[np.frombuffer(text, np.uint8)]]).astype(np.int64)
 
-
     def own_rates(self) -> dict[str, tuple[int, float]]:
         """Of each language the bytes it was learned from and the bits a byte that these cost in its own tree."""
         out = {}
@@ -100,8 +99,10 @@ class CodeLengths:
         self.rare, self.rare_bits = SYMBOLS - 1, trees.rare_bits
         self.bits = np.empty((SYMBOLS**DEPTH, languages), np.float32)
         self.escape = np.empty((SYMBOLS**DEPTH, languages), np.float32)
-        self.row = np.zeros(SYMBOLS ** (DEPTH + 1), np.int32)
-        self.row[trees.grams] = np.arange(1, len(trees.grams) + 1)
+        # Rows of the deepest level: of each context the first one, and one bit for each symbol seen after it.
+        self._first = np.searchsorted(trees.grams, np.arange(SYMBOLS**DEPTH) * SYMBOLS).astype(np.int32)
+        self._seen = np.zeros(SYMBOLS**DEPTH, np.uint64)
+        np.bitwise_or.at(self._seen, trees.grams // SYMBOLS, np.uint64(1) << (trees.grams % SYMBOLS).astype(np.uint64))
         self.deep = np.zeros((len(trees.grams) + 1, languages), np.float32)
         for column, orders in enumerate(trees._counted):
             shorter = np.full(1, -np.log2(1 / SYMBOLS))
@@ -121,6 +122,13 @@ class CodeLengths:
             deep[np.searchsorted(trees.grams, keys)] = np.log2(np.maximum(1, total + distinct))[keys // SYMBOLS] - np.log2(seen)
             self.deep[1:, column] = deep
 
+    def _row(self, key: np.ndarray) -> np.ndarray:
+        """Row of each gram, from 1; 0 for those that no language has."""
+        context, symbol = key // SYMBOLS, (key % SYMBOLS).astype(np.uint64)
+        seen = self._seen[context] >> symbol
+        before = np.bitwise_count(self._seen[context] ^ (seen << symbol))
+        return np.where(seen & np.uint64(1), self._first[context] + before + 1, 0)
+
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each whole text under each language (texts x languages)."""
         out = np.zeros((len(texts), len(self.languages)))
@@ -143,7 +151,7 @@ class CodeLengths:
     def _add(self, out: np.ndarray, held: list[np.ndarray], owners: list[int]) -> None:
         key = np.concatenate([_keys(s, DEPTH) for s in held])
         starts = np.cumsum([0] + [len(s) - DEPTH for s in held[:-1]])
-        row = self.row[key]
+        row = self._row(key)
         cost = self.deep[row]
         new = np.flatnonzero(row == 0)
         cost[new] = self.escape[key[new] // SYMBOLS] + self.bits[key[new] % SYMBOLS**DEPTH]
@@ -167,16 +175,24 @@ def held_out(id_col: str = "doc_id") -> F.Column:
 
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    texts_per_language: int = 300, bytes_per_text: int = 20_000,
+    texts_per_language: int = 300, bytes_per_text: int = 20_000, most_languages: int = 200,
 ) -> ContextTrees:
     """Trees from at most ``texts_per_language`` labelled texts a language, ``bytes_per_text`` bytes of each.
 
     The sample is the rows of smallest id hash within each language, out of
     those that are not held out; rows without id, label or text are not
-    learned from.  It is bounded for any table (texts x bytes x languages).
+    learned from, nor are labels other than the ``most_languages`` most
+    frequent ones.  So it is bounded for any table (texts x bytes x
+    languages).  Rows are counted first, and only those with hashes below what
+    some more than enough of them have reach the window that picks them.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     order = F.xxhash64(F.col(id_col).cast("long"))
+    sizes = labelled.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    share = F.least(F.lit(1.0), F.lit(2.0 * texts_per_language + 200) / F.col("count"))
+    # Hashes from -2^63 on; repeated ids make the window's input larger, not wrong.
+    sizes = sizes.select("lang", (F.lit(-(2.0**63)) + share * 2.0**64).alias("most"))
+    labelled = labelled.withColumn("__lang", F.col(lang_col)).join(F.broadcast(sizes.withColumnRenamed("lang", "__lang")), "__lang").where(order.cast("double") <= F.col("most"))
     window = Window.partitionBy("lang").orderBy("place")
     first = F.row_number().over(window)
     ids = labelled.select(F.col(lang_col).alias("lang"), order.alias("place"))
@@ -214,11 +230,12 @@ def identify(docs: DataFrame, trees: ContextTrees, text_col: str = "text", prefi
             _LENGTHS[mark] = CodeLengths(model.value)
         lengths = _LENGTHS[mark]
         for whole in parts:
-            for start in range(0, whole.num_rows, 512):
-                part = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, 256):
+                part = whole.slice(start, 256)
                 found = _predict(lengths, part.column(at).to_pylist())
                 arrays = [pa.array(c, schema.field(n).type) for n, c in zip(names, found)]
                 yield pa.RecordBatch.from_arrays([c.cast(schema.field(i).type) for i, c in enumerate(part.columns)] + arrays, schema=schema)
+        give_back()
 
     return docs.mapInArrow(run, out)
 
@@ -235,6 +252,24 @@ def _predict(lengths: CodeLengths, texts: list[str | None]) -> tuple[list, list,
     return languages, scores, rates
 
 
+#: A text that costs more bits a byte under every language than its plain bytes is in none of them.  Prose costs
+#: 2 to 4.5, short prose around a key, a password or a number up to 7.4.
+REJECT_BITS = 8.0
+#: Beyond the allowance (bits; a key of a hundred bytes) a text may cost twice the rate of the texts its language was
+#: learned from, and what prose costs in any case.  A language learned from few bytes is judged by REJECT_BITS alone.
+ALLOWANCE, TIMES, PROSE_BITS, LEARNED_BYTES = 800.0, 2.0, 4.5, 100_000
+
+
+def fits(trees: ContextTrees, text_col: str = "text", prefix: str = "") -> F.Column:
+    """Whether a text that :func:`identify` has judged is in the language predicted for it; false for ``und``."""
+    most = F.lit(REJECT_BITS)
+    for language, (learned, rate) in trees.own_rates().items():
+        if learned >= LEARNED_BYTES:
+            rate = F.lit(max(PROSE_BITS, TIMES * rate)) + F.lit(ALLOWANCE) / F.greatest(F.octet_length(text_col), F.lit(1))
+            most = F.when(F.col(f"{prefix}lang_pred") == language, F.least(F.lit(REJECT_BITS), rate)).otherwise(most)
+    return (F.col(f"{prefix}lang_pred") != UNKNOWN) & (F.col(f"{prefix}bits_per_byte") <= most)
+
+
 def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))
