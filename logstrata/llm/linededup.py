@@ -2,11 +2,11 @@
 
 One HyperLogLog sketch of sites is kept per line hash and merged by
 aggregation.  Lines whose estimate is clear of the threshold are decided by
-it; the others get an exact count of distinct sites.  Lines spread over
-enough sites are boilerplate and leave every document, except documents that
-consist of such lines for the greater part.  These are copies or pages with
-little text of their own; on request the latter lose their boilerplate too,
-told by whether a line also spreads as the lesser part of documents.
+it; the others get an exact count of distinct sites.  Of the lines that spread
+over enough sites those are boilerplate that stand, on as many sites or on
+most of theirs, in documents of which such lines are the lesser part: a line
+that spreads with whole copies of its document alone is a copy, and copies are
+not this operator's work.  Boilerplate leaves every document, short pages too.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def _key(line: F.Column) -> F.Column:
     return F.struct(F.xxhash64(line).alias("h"), F.hash(line).alias("g"))
 
 
-def boilerplate_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def spread_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """Keys (struct h, g) of the lines that stand on at least ``min_sites`` distinct sites.
 
     Lines are compared without outer blanks, tabs and carriage returns; blank
@@ -48,48 +48,33 @@ def boilerplate_lines(docs: DataFrame, text_col: str = "text", site_col: str = "
     spread = line.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
     margin = max(1, round(_SIGMAS * _RSE * min_sites + 0.5))
     spread = spread.select("key", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - margin)
-    spread = written(spread, "line-spread")  # the few lines that may be boilerplate
+    spread = written(spread, "line-spread")  # the few lines that may be spread widely
     clear = spread.where(F.col("sites") > min_sites + margin).select("key")
     near = spread.where(F.col("sites") <= min_sites + margin).select("key")
     exact = line.join(near, "key", "left_semi").groupBy("key").agg(F.count_distinct("site").alias("sites"))
     # Written, so that a join with it shuffles both sides and a line on very many documents can be split.
-    return written(clear.union(exact.where(F.col("sites") >= min_sites).select("key")), "boilerplate")
+    return written(clear.union(exact.where(F.col("sites") >= min_sites).select("key")), "spread-lines")
 
 
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, thin: bool = False
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """All columns of ``docs``, the text without boilerplate lines, and n_lines and n_removed (long).
 
     Input columns named n_lines or n_removed (or beginning with ``__``) are
-    replaced.  A document whose boilerplate lines hold more than half of the
-    characters of its trimmed lines keeps its text.  Null text stays null with
-    no lines; empty text is one blank line.  Rows are neither dropped nor merged.
-
-    With ``thin`` such a document loses boilerplate too: the lines that stand,
-    on ``min_sites`` or on most of their sites, in documents of which
-    boilerplate is the lesser part.  Lines that spread with whole copies alone stay, and so does a text
-    that would have nothing left.
+    replaced.  A text that would have nothing left but blanks stays as it is.
+    Null text stays null with no lines; empty text is one blank line.  Rows
+    are neither dropped nor merged.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed") and not c.startswith("__")]
     # A collision of row keys only unites two rows' sets of lines that are boilerplate anyway.
-    rows = docs.select(*kept, F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row"))
-    line = rows.select("__row", F.explode(_lines(text_col)).alias("line")).select("__row", _bare(F.col("line")).alias("line"))
-    line = line.where("line <> ''").select("__row", _key(F.col("line")).alias("key"))
-    spread = boilerplate_lines(docs, text_col, site_col, min_sites)
-    common = line.join(spread, "key").groupBy("__row").agg(F.collect_set("key").alias("__common"))
-    if thin:
-        common = _not_copied(docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row"), text_col, site_col), text_col, site_col, spread, min_sites)
-    rows = rows.join(common, "__row", "left").withColumn("__lines", _lines(text_col))
+    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias("__row")
+    common = _boilerplate(docs.select(row, text_col, site_col), text_col, site_col, spread_lines(docs, text_col, site_col, min_sites), min_sites)
+    rows = docs.select(*kept, row).join(common, "__row", "left").withColumn("__lines", _lines(text_col))
 
     def is_common(x: F.Column) -> F.Column:
         return F.coalesce(F.array_contains("__common", _key(_bare(x))), F.lit(False)) & (_bare(x) != "")
 
-    def chars_left(found: F.Column, whole: F.Column) -> F.Column:
-        return found < whole if thin else found * 2 <= whole
-
     rows = rows.withColumn("__found", F.when(F.col("__common").isNotNull(), F.filter("__lines", is_common)))
-    rows = rows.withColumn("__cut", F.coalesce(chars_left(_chars(F.col("__found")), _chars(F.col("__lines"))), F.lit(False)))
+    rows = rows.withColumn("__cut", F.coalesce(_chars(F.col("__found")) < _chars(F.col("__lines")), F.lit(False)))
     text = F.when(F.col("__cut"), F.array_join(F.filter("__lines", lambda x: ~is_common(x)), "\n")).otherwise(F.col(text_col))
     n_removed = F.when(F.col("__cut"), F.size("__found")).otherwise(0).cast("long")
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size("__lines")).cast("long")
@@ -100,8 +85,8 @@ def _chars(lines: F.Column) -> F.Column:
     return F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
 
 
-def _not_copied(rows: DataFrame, text_col: str, site_col: str, spread: DataFrame, min_sites: int) -> DataFrame:
-    """For each __row the keys (__common) of its ``spread`` lines; where these are the greater part, of those that are boilerplate elsewhere."""
+def _boilerplate(rows: DataFrame, text_col: str, site_col: str, spread: DataFrame, min_sites: int) -> DataFrame:
+    """For each __row the keys (__common) of its boilerplate lines, if any."""
     line = rows.select("__row", F.explode(_lines(text_col)).alias("line")).select("__row", _bare(F.col("line")).alias("line"))
     line = line.where("line <> ''").select("__row", _key(F.col("line")).alias("key"), F.length("line").alias("n"))
     part = line.join(spread, "key").groupBy("__row").agg(F.collect_set("key").alias("__common"), F.sum("n").alias("n"))
@@ -112,9 +97,8 @@ def _not_copied(rows: DataFrame, text_col: str, site_col: str, spread: DataFrame
     stands = part.select("__row", F.explode("__common").alias("key"), F.col("lesser").cast("int").alias("lesser"))
     stands = stands.join(rows.select("__row", F.col(site_col).cast("string").alias("site")), "__row").where("site IS NOT NULL")
     sites = stands.groupBy("key", "site").agg(F.max("lesser").alias("lesser")).groupBy("key").agg(F.sum("lesser").alias("lesser"), F.count("*").alias("all"))
-    sure = written(sites.where((F.col("lesser") >= min_sites) | (F.col("lesser") * 2 > F.col("all"))).select("key"), "sure-boilerplate")
-    thin = part.where("NOT lesser").select("__row", F.explode("__common").alias("key")).join(sure, "key")
-    return part.where("lesser").select("__row", "__common").union(thin.groupBy("__row").agg(F.collect_set("key").alias("__common")))
+    sure = written(sites.where((F.col("lesser") >= min_sites) | (F.col("lesser") * 2 > F.col("all"))).select("key"), "boilerplate")
+    return part.select("__row", F.explode("__common").alias("key")).join(sure, "key").groupBy("__row").agg(F.collect_set("key").alias("__common"))
 
 
 def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,13 +111,19 @@ WITH line AS (
     SELECT doc_id, source, trim(raw, ' ' || chr(9) || chr(13)) AS line, raw, place
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw,
                  generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents WHERE text IS NOT NULL)
-), common AS (
+), spread AS (
     SELECT line FROM line WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}
+), share AS (
+    SELECT doc_id, 2 * sum(CASE WHEN s.line IS NOT NULL THEN length(l.line) ELSE 0 END) <= sum(length(l.line)) AS lesser
+    FROM line l LEFT JOIN spread s ON l.line = s.line GROUP BY doc_id
+), common AS (
+    SELECT line FROM line JOIN spread USING (line) JOIN share USING (doc_id) GROUP BY line
+    HAVING count(DISTINCT source) FILTER (lesser) >= {MIN_SITES} OR 2 * count(DISTINCT source) FILTER (lesser) > count(DISTINCT source)
 ), marked AS (
     SELECT l.*, c.line IS NOT NULL AS is_common FROM line l LEFT JOIN common c ON l.line = c.line
 ), per AS (
     SELECT doc_id, count(*) AS n_lines, count(*) FILTER (is_common) AS n_common,
-           count(*) FILTER (is_common) > 0 AND 2 * sum(CASE WHEN is_common THEN length(line) ELSE 0 END) <= sum(length(line)) AS cut,
+           count(*) FILTER (is_common) > 0 AND sum(CASE WHEN is_common THEN length(line) ELSE 0 END) < sum(length(line)) AS cut,
            string_agg(raw, chr(10) ORDER BY place) AS whole,
            coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (NOT is_common), '') AS kept
     FROM marked GROUP BY doc_id

@@ -153,7 +153,7 @@ def test_line_dedup(spark, none):
 
     common, rare = "Accept all cookies", "Read our newsletter"
     rows = [(i, f"{prose(i, 20)}\n  {common}\r\n\n{prose(100 + i, 20)}" + (f"\n{rare}" if i < 8 else ""), None, f"site{i % 12}", 0) for i in range(24)]
-    rows += [(100 + i, f"{common}\nok", None, "site0", 0) for i in range(3)]  # for the greater part the common line: kept
+    rows += [(100 + i, f"{common}\nok", None, "site0", 0) for i in range(3)]  # a short page, for the greater part the common line
     rows += [(200, None, None, "site1", 0), (201, "", None, "site2", 0), (202, common, None, None, 0), (None, f"{prose(7, 30)}\n{common}", None, "site3", 0), (3, rows[3][1], None, "site3", 0)]
     df = spark.createDataFrame(rows, DOCS).withColumn("n_lines", F.lit("clash")).repartition(4)
     got = {}
@@ -162,12 +162,25 @@ def test_line_dedup(spark, none):
     for i in range(8, 24):
         assert got[i][0]["text"] == f"{prose(i, 20)}\n\n{prose(100 + i, 20)}" and (got[i][0]["n_lines"], got[i][0]["n_removed"]) == (4, 1)
     assert got[0][0]["n_removed"] == 2 and rare not in got[0][0]["text"]  # on exactly eight sites
-    assert got[100][0]["text"] == f"{common}\nok" and got[202][0]["text"] == common
+    assert got[100][0]["text"] == "ok" and got[202][0]["text"] == common
     assert (got[200][0]["text"], got[200][0]["n_lines"]) == (None, 0) and (got[201][0]["text"], got[201][0]["n_lines"]) == ("", 1)
     assert got[None][0]["n_removed"] == 1 and len(got[3]) == 2
     assert dedup_lines(none).count() == 0
 
 
+def test_lines_of_whole_copies_are_not_boilerplate(spark):
+    from logstrata.llm.linededup import dedup_lines
+
+    body, banner = [prose(500 + i, 30) for i in range(4)], "Subscribe to our newsletter"
+    rows = [(i, "\n".join([*body, prose(600 + i, 5)]), None, f"site{i}", 0) for i in range(12)]  # near copies on twelve sites
+    rows += [(100 + i, f"{prose(700 + i, 30)}\n{banner}", None, f"site{i}", 0) for i in range(8)]
+    rows += [(200, f"{body[0]}\n{banner}", None, "site0", 0), (201, banner, None, "site1", 0), (202, f"\n{banner}\n{banner}", None, "site2", 0)]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert all(got[i] == rows[i][1] for i in range(12))
+    assert all(got[100 + i] == prose(700 + i, 30) for i in range(8))
+    assert got[200] == body[0] and got[201] == banner and got[202] == rows[-1][1]  # nothing else in the last two
+
+
 def test_line_dedup_is_native(spark, odd):
     from logstrata.llm.linededup import dedup_lines
 
