@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import components, pieces_for, table, text_bytes, written
+from logstrata.llm.common import components, dealt, lean, pieces_for, table, text_bytes, written
+from logstrata.llm.wordchunks import segments
 from logstrata.llm.embeddings import forest
 
 WORDS = 5
@@ -197,15 +198,16 @@ def near_duplicate_groups(
     total = pieces_for(docs, text_bytes(text_col), 1)
     chunks, buckets = -(-total // chunk_bytes), -(-total // bucket_bytes)
     first = np.array(band_starts(percent))
-    dealt = docs.select(
+    texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
-        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(chunks)).cast("long").alias("chunk"),
+        dealt(chunks, id_col, text_col).alias("chunk"),
     )
     sent_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("codes", pa.binary()), ("copies", pa.binary())])
     reply_schema = pa.schema([
         ("chunk", pa.int64()), ("known", pa.binary()), ("frequent", pa.binary()), ("twins", pa.binary()), ("bands", pa.list_(pa.int64())),
     ])
 
+    @lean
     def send(chunk: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return sent_schema.empty_table()
@@ -213,19 +215,19 @@ def near_duplicate_groups(
         leaders = own.leaders()
         codes = np.sort(np.concatenate([_codes(own.sets[i], buckets) for i in leaders])) if leaders else np.zeros(0, np.uint64)
         codes = codes[np.concatenate([np.ones(min(2, len(codes)), bool), codes[2:] != codes[:-2]])]
-        cuts = np.searchsorted(codes, np.arange(buckets + 1).astype(np.uint64) << np.uint64(32))
         copies = np.array(
             [(own.digests[i], own.ids[i], np.searchsorted(first, len(own.sets[i]), side="right") - 1) for i in leaders], _COPY
         )
-        of = own.bucket[leaders] if leaders else np.zeros(0)
-        rows = [
-            (b, (codes[cuts[b]:cuts[b + 1]] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), copies[of == b].tobytes())
-            for b in range(buckets)
-        ]
-        rows = [r for r in rows if r[1] or r[2]]
+        order, groups = segments(own.bucket[leaders] if leaders else np.zeros(0, np.int64))
+        sets = {int(b): copies[order[i:j]].tobytes() for b, i, j in groups}
+        present, starts = np.unique(codes >> np.uint64(32), return_index=True)
+        low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
+        shingles = {int(b): c.tobytes() for b, c in zip(present, np.split(low, starts[1:]))}
+        rows = [(b, shingles.get(b, b""), sets.get(b, b"")) for b in sorted(shingles.keys() | sets.keys())]
         number = chunk.column("chunk")[0].as_py()
         return pa.table([[number] * len(rows), *(list(c) for c in zip(*rows))] if rows else [[], [], [], []], schema=sent_schema)
 
+    @lean
     def reply(bucket: pa.Table) -> pa.Table:
         if not bucket.num_rows:
             return reply_schema.empty_table()
@@ -253,7 +255,7 @@ def near_duplicate_groups(
         return pa.table([list(c) for c in zip(*rows)], schema=reply_schema)
 
     # Both passes group the same rows, so Spark shuffles the texts once and reads that twice.
-    sent = dealt.groupBy("chunk").applyInArrow(send, "chunk long, bucket long, codes binary, copies binary")
+    sent = texts.groupBy("chunk").applyInArrow(send, "chunk long, bucket long, codes binary, copies binary")
     replies = sent.groupBy("bucket").applyInArrow(reply, "chunk long, known binary, frequent binary, twins binary, bands array<long>")
     replies = written(replies, "replies")
     counted = replies.where("bands IS NOT NULL").select(F.posexplode("bands").alias("band", "n")).groupBy("band").agg(F.sum("n"))
@@ -265,6 +267,7 @@ def near_duplicate_groups(
         ("doc_id", pa.int64()), ("n", pa.int64()), ("twin", pa.int64()), ("signatures", pa.list_(pa.int64())), ("shingles", pa.binary()),
     ])
 
+    @lean
     def sign(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return row_schema.empty_table()
@@ -290,7 +293,7 @@ def near_duplicate_groups(
             rows.append((doc, len(shingles), twin if twin != doc else None, signed, held))
         return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows), row_schema)], schema=row_schema)
 
-    rows = dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+    rows = texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         sign, "doc_id long, n long, twin long, signatures array<long>, shingles binary"
     )
     rows = written(rows, "signed")
