@@ -87,6 +87,11 @@ class _Windows:
         return np.cumsum(edge)[:-1] > 0
 
 
+def _texts(chunk: pa.Table, text_col: str) -> list[bytes | None]:
+    """Texts as UTF-8, without a second column of them."""
+    return chunk.column(text_col).cast(pa.binary()).to_pylist()
+
+
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which of ``values`` are in ``known`` (sorted)."""
     if not len(known):
@@ -117,16 +122,15 @@ def remove_repeats(
     kept = [c for c in docs.columns if c not in added and not c.startswith("__")]
     total = pieces_for(docs, text_bytes(text_col), 1)
     chunks, buckets = -(-total // chunk_bytes), -(-total // bucket_bytes)
-    rows = docs.select(
-        *kept, F.col(text_col).cast("binary").alias("__text"),
-        dealt(chunks, id_col, text_col).alias("__chunk"),
-    )
+    rows = docs.select(*kept, dealt(chunks, id_col, text_col).alias("__chunk"))
     blobs = pa.schema([("__chunk", pa.int64()), ("__bucket", pa.int64()), ("__hashes", pa.binary())])
 
     @lean
     def scatter(chunk: pa.Table) -> pa.Table:
-        found = _Windows(chunk.column("__text").to_pylist(), window)
-        order, cuts = segments((found.spread % np.uint64(buckets)).astype(np.int64))
+        found = _Windows(_texts(chunk, text_col), window)
+        bucket = (found.spread % np.uint64(buckets)).astype(np.int32)
+        del found.spread, found.at
+        order, cuts = segments(bucket)
         rows = [(b, found.hashes[order[i:j]]) for b, i, j in cuts]
         own = chunk.column("__chunk")[0].as_py() if chunk.num_rows else 0
         return pa.table([[own] * len(rows), [b for b, _ in rows], [_at_most_two(h).tobytes() for _, h in rows]], schema=blobs)
@@ -145,14 +149,14 @@ def remove_repeats(
     # Both passes group the same rows, so Spark shuffles the texts once and reads that twice.
     sent = rows.groupBy("__chunk").applyInArrow(scatter, "__chunk long, __bucket long, __hashes binary")
     marked = sent.groupBy("__bucket").applyInArrow(gather, "__chunk long, __hashes binary")
-    out = rows.drop("__text", "__chunk").schema.add("n_words", "long").add("n_removed", "long")
+    out = rows.drop("__chunk").schema.add("n_words", "long").add("n_removed", "long")
     span = StructType().add("first", "integer").add("end", "integer")
     out = out.add("removed", ArrayType(span)).add("kept", "string")
     schema = to_arrow_schema(out)
 
     @lean
     def cut(chunk: pa.Table, marks: pa.Table) -> pa.Table:
-        found = _Windows(chunk.column("__text").to_pylist(), window)
+        found = _Windows(_texts(chunk, text_col), window)
         known = [np.frombuffer(b, np.uint64) for b in marks.column("__hashes").to_pylist()]
         gone = found.repeated(np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64))
         columns = list(zip(*_documents(found, gone))) or [[], [], [], []]
