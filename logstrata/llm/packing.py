@@ -351,7 +351,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 12_000) -> Da
 
 
 #: Text encoded at once.
-_TEXT_BYTES = 8 << 20
+_TEXT_BYTES = 2 << 20
 
 
 def cut_documents(

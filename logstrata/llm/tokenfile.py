@@ -117,7 +117,7 @@ class TokenFileReader:
 
 
 #: Text encoded at once.
-_TEXT_BYTES = 8 << 20
+_TEXT_BYTES = 2 << 20
 
 
 def write_token_files(

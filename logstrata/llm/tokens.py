@@ -29,7 +29,7 @@ class SegmentEncoder:
     as one Arrow array of segments and one numpy array of all their ids.
     """
 
-    def __init__(self, path: str, blanks_kept: bool, entries: int = 1_000_000, longest: int = 64):
+    def __init__(self, path: str, blanks_kept: bool, entries: int = 500_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self._tokenizer = Tokenizer.from_file(path)
         added = self._tokenizer.get_added_tokens_decoder()
