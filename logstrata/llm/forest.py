@@ -31,12 +31,13 @@ NEAREST = 20
 EVERY = 20
 TREES = 4
 SAMPLE = 20_000
-LEAF_ROWS = 16
+LEAF_ROWS = 128
 FEWEST_LEAVES = 16
 #: Recall at ``k`` that the share of opened leaves must reach on the sample, measured with so many of its vectors as queries.
-RECALL, TRIALS = 0.96, 200
+RECALL, TRIALS = 0.975, 100
 _BLOCK_ROWS, _BLOCK_QUERIES = 8192, 4096
-_BLOCK_DEPTH = 8  # levels of a subtree that travels as one
+#: Subtrees that travel as one have so many levels, but a tree has at least 2^4 of them.
+_BLOCK_DEPTH, _TOP_LEVELS = 5, 4
 
 
 class Forest:
@@ -44,6 +45,7 @@ class Forest:
         self.top = top_norm
         self.trees, self.leaves = [], 0
         self._blocks: list[int] = []  # of each leaf
+        self._block_depth = max(0, min(_BLOCK_DEPTH, depth - _TOP_LEVELS))
         points = self.lift(sample)
         random = np.random.default_rng(seed)
         for _ in range(trees):
@@ -57,7 +59,7 @@ class Forest:
 
     def _grow(self, points: np.ndarray, own: np.ndarray, depth: int, random: np.random.Generator, block: int | None = None):
         """A leaf is its number; an inner node is (normal, offset, below, above).  A block is named after its first leaf."""
-        if block is None and depth <= _BLOCK_DEPTH:
+        if block is None and depth <= self._block_depth:
             block = self.leaves
         for _ in range(8 if depth and len(own) > 1 else 0):
             a, b = points[random.choice(own, 2, replace=False)]
