@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.session import scratch_path
+from logstrata.session import delete_folder, scratch_path
 
 #: Words of all text operators: runs of anything but space and the ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,12 +44,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Scratch:
+    """Written intermediates of one run, removed when what was made of them is written itself."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as Parquet under the shared folder and read back: cuts lineage, survives lost executors."""
+        self._paths.append(scratch_path(self._spark, name))
+        df.write.parquet(self._paths[-1])
+        return self._spark.read.schema(df.schema).parquet(self._paths[-1])
+
+    def take(self, other: "Scratch") -> None:
+        """What ``other`` holds is removed with what this one holds."""
+        self._paths, other._paths = other._paths + self._paths, []
+
+    def clear(self, keep: int = 0) -> None:
+        """Remove all tables but the ``keep`` written last."""
+        while len(self._paths) > keep:
+            delete_folder(self._spark, self._paths.pop(0))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under the shared folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written and read back, to stay: a result, or what a result is read from."""
+    return Scratch(df.sparkSession).written(df, name)
 
 
 def pieces_for(df: DataFrame, size: Callable | F.Column, target: int) -> int:
@@ -170,20 +189,24 @@ def _careful_segments(text: str) -> list[str]:
     return out
 
 
-def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, name: str = "components", max_rounds: int = 60, work: Scratch | None = None) -> DataFrame:
     """Connected components of ``edges`` (a long, b long): node long, component long (smallest node).
 
     Alternating large-star and small-star rounds (Kiveris et al. 2014): every
     round is two aggregates and two joins on the node, written to the shared
     folder; about log(longest path) rounds.  Nodes without edges are absent.
     Null ends and loops are left out.  Only one checksum row a round reaches
-    the driver.
+    the driver.  A round's tables are removed when the next one is written;
+    the last stays, or goes with what ``work`` holds.
     """
     start = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, before = written(start, name), None
+    rounds = Scratch(edges.sparkSession)
+    now, before = rounds.written(start, name), None
     for _ in range(max_rounds):
         mark = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.lit(0))).first())
         if mark == before or mark[0] == 0:
+            if work is not None:
+                work.take(rounds)
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
@@ -191,9 +214,10 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         both = now.union(now.select("b", "a").toDF("a", "b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = written(large, name)
+        large = rounds.written(large, name)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(least, "a")
         small = linked.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        now = written(small.distinct(), name)
+        now = rounds.written(small.distinct(), name)
+        rounds.clear(keep=1)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

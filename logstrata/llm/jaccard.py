@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import components, dealt, lean, pieces_for, table, text_bytes, written
+from logstrata.llm.common import Scratch, components, dealt, lean, pieces_for, table, text_bytes, written
 from logstrata.llm.wordchunks import segments
 from logstrata.llm.embeddings import forest
 
@@ -257,7 +257,8 @@ def near_duplicate_groups(
     # Both passes group the same rows, so Spark shuffles the texts once and reads that twice.
     sent = texts.groupBy("chunk").applyInArrow(send, "chunk long, bucket long, codes binary, copies binary")
     replies = sent.groupBy("bucket").applyInArrow(reply, "chunk long, known binary, frequent binary, twins binary, bands array<long>")
-    replies = written(replies, "replies")
+    work = Scratch(docs.sparkSession)
+    replies = work.written(replies, "replies")
     counted = replies.where("bands IS NOT NULL").select(F.posexplode("bands").alias("band", "n")).groupBy("band").agg(F.sum("n"))
     counts = [0] * (len(first) - 1)
     for band, n in counted.collect():  # one row for each of the size bands
@@ -296,10 +297,12 @@ def near_duplicate_groups(
     rows = texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         sign, "doc_id long, n long, twin long, signatures array<long>, shingles binary"
     )
-    rows = written(rows, "signed")
-    member = _linked(rows, percent)
+    rows = work.written(rows, "signed")
+    member = _linked(rows, percent, work)
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(member.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = written(out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "groups")
+    work.clear()
+    return out
 
 
 def _places(sets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -314,32 +317,32 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _linked(rows: DataFrame, percent: int) -> DataFrame:
+def _linked(rows: DataFrame, percent: int, work: Scratch) -> DataFrame:
     """Components over equal sets and verified pairs: node, component."""
     sets = rows.where("signatures IS NOT NULL").select(F.col("doc_id").alias("doc"), "n", "shingles")
     signed = rows.where("signatures IS NOT NULL").select(F.explode("signatures").alias("signature"), F.col("doc_id").alias("doc"), "n")
     shared = signed.groupBy("signature").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a <> z").drop("z")
     # Signatures that only one document has go no further.
-    signed = written(signed.join(shared, "signature"), "signatures")
+    signed = work.written(signed.join(shared, "signature"), "signatures")
     edges = rows.where("twin IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("twin").alias("b"))
 
     # First, one partner for each document: the smallest that shares a signature.
     pairs = signed.where("doc <> a").groupBy(F.col("doc").alias("b")).agg(F.min("a").alias("a"))
-    edges = written(edges.union(_verified(pairs, sets, percent)), "links")
-    member = components(edges, "components")
+    edges = work.written(edges.union(_verified(pairs, sets, percent, work)), "links")
+    member = components(edges, "components", work=work)
 
     # Documents of one component need no more; what a signature still holds apart is compared in full.
     held = signed.join(member.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     apart = held.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     held = held.join(apart.select("signature"), "signature", "left_semi").groupBy("doc", "a").agg(F.first("n").alias("n"), F.first("component").alias("component"))
-    held = written(held, "apart")
-    family = components(held.select(F.col("doc").alias("a"), F.col("a").alias("b")), "families").toDF("doc", "family")
+    held = work.written(held, "apart")
+    family = components(held.select(F.col("doc").alias("a"), F.col("a").alias("b")), "families", work=work).toDF("doc", "family")
     rest = held.groupBy("doc").agg(F.first("n").alias("n"), F.first("component").alias("component")).join(family, "doc")
-    edges = written(edges.union(_compared(written(rest, "rest"), sets, percent)), "links")
-    return components(edges, "components")
+    edges = work.written(edges.union(_compared(work.written(rest, "rest"), sets, percent, work)), "links")
+    return components(edges, "components", work=work)
 
 
-def _compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compared(rest: DataFrame, sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
     """Links within each family of ``rest`` (doc, n, component, family), as edges that connect what is connected.
 
     A family is cut into tiles by size band, component and hash; a tile meets
@@ -354,7 +357,7 @@ def _compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # A large component has tiles of its own; small ones share.
     owner = F.when(F.col("pure"), F.col("component"))
     shared = many.groupBy("family", "band", owner.alias("owner")).agg(F.ceil(F.sum("docs") / _TILE).cast("int").alias("tiles"))
-    shared = written(shared, "tiles")
+    shared = work.written(shared, "tiles")
     same = F.expr("owner <=> own")
     doc = rest.join(many.select(*place, "pure"), place).withColumn("own", owner).drop("component", "pure")
     doc = doc.join(shared.withColumnsRenamed({"family": "f", "band": "g"}), (F.col("family") == F.col("f")) & (F.col("band") == F.col("g")) & same)
@@ -395,9 +398,9 @@ def _compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("family", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, work: Scratch) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets link.  One side's set travels with each pair, in lots of bounded size by the other side."""
-    pairs = written(pairs.select("a", "b"), "pairs")
+    pairs = work.written(pairs.select("a", "b"), "pairs")
     lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / _LOT).cast("int").alias("lots"))
     lot = F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")
     heads = lots.join(sets.toDF("a", "n", "shingles"), "a").select("a", lot, "n", "shingles")

@@ -116,6 +116,16 @@ class TokenFileReader:
             yield (doc_id if has_id else None), plain[first:first + 4 * ids] if ids else b""
 
 
+#: What pyarrow calls stores that Hadoop has other names for.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system for a path as Spark writes it, and the path there."""
+    scheme, mark, rest = path.partition("://")
+    return fs.FileSystem.from_uri(_SCHEMES.get(scheme, scheme) + mark + rest)
+
+
 #: Text encoded at once.
 _TEXT_BYTES = 2 << 20
 
@@ -150,7 +160,7 @@ def write_token_files(
         out, counts = None, [0, 0]
         for held in text_pieces(parts, 1, _TEXT_BYTES):
             if out is None:
-                store, folder = fs.FileSystem.from_uri(path)
+                store, folder = store_of(path)
                 store.create_dir(folder, recursive=True)
                 draft, final = f"{folder}/_{uuid.uuid4().hex}", f"{folder}/part-{part:06d}.ids.zst"
                 out = store.open_output_stream(draft)
@@ -185,7 +195,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
 
 def _digests(file: str, start: int) -> Iterator[list]:
-    store, name = fs.FileSystem.from_uri(file)
+    store, name = store_of(file)
     with store.open_input_file(name) as source:
         for doc_id, ids in TokenFileReader(source).documents():
             yield [doc_id, start, len(ids) // 4, zlib.crc32(ids)]

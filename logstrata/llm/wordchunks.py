@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logstrata.llm.common import Scratch
 from logstrata.session import delete_folder, scratch_path
 
 #: Up to so many buckets a table of chunks is stored by chunk.
@@ -115,24 +116,19 @@ class ChunkTable:
         delete_folder(self._spark, self._path)
 
 
-class Workspace:
-    """Written intermediates of one run, removed when its result stands."""
+class Workspace(Scratch):
+    """Written intermediates and chunk tables of one run, removed when its result stands."""
 
     def __init__(self, spark: SparkSession):
-        self._spark, self._paths, self._tables = spark, [], []
-
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        self._paths.append(scratch_path(self._spark, name))
-        df.write.parquet(self._paths[-1])
-        return self._spark.read.schema(df.schema).parquet(self._paths[-1])
+        super().__init__(spark)
+        self._tables: list[ChunkTable] = []
 
     def chunks(self, df: DataFrame, count: int, name: str) -> ChunkTable:
         self._tables.append(ChunkTable(df, count, name))
         return self._tables[-1]
 
-    def clear(self) -> None:
-        while self._paths:
-            delete_folder(self._spark, self._paths.pop())
+    def clear(self, keep: int = 0) -> None:
+        super().clear(keep)
         while self._tables:
             self._tables.pop().drop()
 
