@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import ship_package, table, written
+from logstrata.llm.common import Scratch, ship_package, table, written
 from logstrata.llm.jaccard import near_duplicate_groups
 from logstrata.llm.langid import fits, identify, train
 from logstrata.llm.linededup import dedup_lines
@@ -87,8 +87,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``: what the last one returns."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``: what the last one returns.  A stage's table is removed when the next one is written."""
+    docs, tables = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = tables.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        tables.clear(keep=1)
     return docs
