@@ -20,6 +20,7 @@ document, then, tile by tile, only what a signature still holds apart.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -28,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstrata.llm.common import Scratch, components, dealt, lean, pieces_for, table, text_bytes, written
-from logstrata.llm.wordchunks import segments
+from logstrata.llm.common import Scratch, components, lean, pieces_for, table, text_bytes, written
+from logstrata.llm.wordchunks import chunk_number, segments, text_pieces
 from logstrata.llm.embeddings import forest
 
 WORDS = 5
@@ -196,21 +197,29 @@ def near_duplicate_groups(
     Shingles are told apart by 64-bit hashes.
     """
     total = pieces_for(docs, text_bytes(text_col), 1)
-    chunks, buckets = -(-total // chunk_bytes), -(-total // bucket_bytes)
+    buckets = -(-total // bucket_bytes)
     first = np.array(band_starts(percent))
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
-        dealt(chunks, id_col, text_col).alias("chunk"),
-    )
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     sent_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("codes", pa.binary()), ("copies", pa.binary())])
     reply_schema = pa.schema([
         ("chunk", pa.int64()), ("known", pa.binary()), ("frequent", pa.binary()), ("twins", pa.binary()), ("bands", pa.list_(pa.int64())),
     ])
 
+    def chunks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+        """Runs of an input split; a task that runs again makes the same ones if it reads its rows in the same order, which holds for files."""
+        for n, held in enumerate(text_pieces(parts, 1, chunk_bytes)):
+            yield chunk_number(n), pa.Table.from_batches(held).combine_chunks()
+
+    def numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, chunk in chunks(parts):
+            yield from chunk.append_column("chunk", pa.array(np.full(chunk.num_rows, number))).to_batches()
+
+    def sending(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, chunk in chunks(parts):
+            yield from send(number, chunk).to_batches()
+
     @lean
-    def send(chunk: pa.Table) -> pa.Table:
-        if not chunk.num_rows:
-            return sent_schema.empty_table()
+    def send(number: int, chunk: pa.Table) -> pa.Table:
         own = _Chunk(chunk.column("doc_id").to_pylist(), chunk.column("text").to_pylist(), words, buckets)
         leaders = own.leaders()
         codes = np.sort(np.concatenate([_codes(own.sets[i], buckets) for i in leaders])) if leaders else np.zeros(0, np.uint64)
@@ -224,7 +233,6 @@ def near_duplicate_groups(
         low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
         shingles = {int(b): c.tobytes() for b, c in zip(present, np.split(low, starts[1:]))}
         rows = [(b, shingles.get(b, b""), sets.get(b, b"")) for b in sorted(shingles.keys() | sets.keys())]
-        number = chunk.column("chunk")[0].as_py()
         return pa.table([[number] * len(rows), *(list(c) for c in zip(*rows))] if rows else [[], [], [], []], schema=sent_schema)
 
     @lean
@@ -254,8 +262,8 @@ def near_duplicate_groups(
             ))
         return pa.table([list(c) for c in zip(*rows)], schema=reply_schema)
 
-    # Both passes group the same rows, so Spark shuffles the texts once and reads that twice.
-    sent = texts.groupBy("chunk").applyInArrow(send, "chunk long, bucket long, codes binary, copies binary")
+    # The first pass shuffles no text; the second brings each chunk of texts to what the buckets replied.
+    sent = texts.mapInArrow(sending, "chunk long, bucket long, codes binary, copies binary")
     replies = sent.groupBy("bucket").applyInArrow(reply, "chunk long, known binary, frequent binary, twins binary, bands array<long>")
     work = Scratch(docs.sparkSession)
     replies = work.written(replies, "replies")
@@ -294,6 +302,7 @@ def near_duplicate_groups(
             rows.append((doc, len(shingles), twin if twin != doc else None, signed, held))
         return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*rows), row_schema)], schema=row_schema)
 
+    texts = texts.mapInArrow(numbered, "doc_id long, text binary, chunk long")
     rows = texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         sign, "doc_id long, n long, twin long, signatures array<long>, shingles binary"
     )
